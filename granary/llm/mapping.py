@@ -22,11 +22,11 @@ from granary.session import materialize
 #: Least Jaccard similarity of the character pairs of a candidate.
 JACCARD = 0.2
 #: A value is unmatched if its distance to the closest form is more than this share of the form's length.
-REACH = 0.34
+REACH = 0.28
 ANY_KIND = "*"
 #: Words that decorate a term without changing which term is meant.
 DECORATIONS = frozenset(
-    "hybrid desi local improved organic fresh irrigated rainfed crop crops problem problems plant plants field var variety type".split()
+    "the a of hybrid desi local improved organic fresh irrigated rainfed crop crops problem problems plant plants field var variety type".split()
 )
 #: Letters that are often typed or heard for each other.
 ALIKE = [set("aeiou"), set("lr"), set("bp"), set("dt"), set("gkjcq"), set("mn"), set("szc"), set("vwb"), set("yi"), set("fp"), set("zj")]
@@ -68,6 +68,12 @@ def squeeze(words: list[str]) -> str:
     return "".join(words)
 
 
+def singular(word: str) -> str:
+    if len(word) > 4 and word.endswith("oes"):
+        return word[:-2]
+    return word[:-1] if len(word) > 3 and word.endswith("s") else word
+
+
 def forms_of(value: str) -> list[str]:
     """The strings that a typed value may stand for: all of it, its parts, and both without decoration."""
     folded = fold(value).replace("_", " ")
@@ -75,19 +81,21 @@ def forms_of(value: str) -> list[str]:
 
     def take(words: list[str]) -> None:
         bare = [w for w in words if not CODE.fullmatch(w)]
-        for option in (words, bare, [w for w in bare if w not in DECORATIONS]):
+        plain = [w for w in bare if w not in DECORATIONS]
+        for option in (words, bare, plain, plain and [*plain[:-1], singular(plain[-1])]):
             if option and (form := squeeze(option)) not in out:
                 out.append(form)
 
-    take(WORDS.findall(folded))
-    parts = [words for part in PARTS.split(folded) if (words := WORDS.findall(part))]
-    if len(parts) > 1:
-        for words in parts:
-            take(words)
-        take([w for words in reversed(parts) for w in words])
     words = WORDS.findall(folded)
+    take(words)
+    parts = [found for part in PARTS.split(folded) if (found := WORDS.findall(part))]
+    if len(parts) > 1:
+        take([w for found in reversed(parts) for w in found])
     if 1 < len(words) <= 3:
         take(words[::-1])
+    if len(parts) > 1:
+        for found in parts:
+            take(found)
     return out
 
 
