@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 
 from granary.llm.canon import FIELD_END, FORM_LABELS, VALUE_START, _by_first, _label_starts, canonical
 from granary.llm.skew import attach
+from granary.llm.slips import shortened, slip_distance, slips_within
 from granary.session import materialize
 
 BANDS = 8
 ROWS = 2
 #: A word is frequent from this share of the different texts on; so their number is bounded by text length / share.
-FREQUENT_SHARE = 0.0005
+FREQUENT_SHARE = 0.0002
 FREQUENT_LEAST = 8
 #: Words that may lack or be added between two texts, and the share of the longer text that they may be.
 LOOSE_WORDS = 2
@@ -51,60 +52,36 @@ _DIGIT = regex.compile(r"\p{Nd}")
 _LATIN = regex.compile(r"\p{Latin}+")
 
 
-def slips_within(a: str, b: str, most: int) -> bool:
-    """Whether a becomes b by at most `most` letters added, dropped, replaced or swapped with their neighbour."""
-    if abs(len(a) - len(b)) > most:
-        return False
-    before, last = [], list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            best = min(last[j - 1] + (x != y), last[j] + 1, row[j - 1] + 1)
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                best = min(best, before[j - 2] + 1)
-            row.append(best)
-        if min(row) > most:
-            return False
-        before, last = last, row
-    return last[-1] <= most
-
-
-def _shortened(word: str, most: int) -> set[str]:
-    out, edge = {word}, {word}
-    for _ in range(most):
-        edge = {w[:i] + w[i + 1 :] for w in edge for i in range(len(w))}
-        out |= edge
-    return out
 
 
 def _reach(word: str) -> int:
-    return 0 if len(word) < 4 else 1 if len(word) < 6 else 2
+    return 0 if len(word) < 4 else 1 if len(word) < 5 else 2
 
 
 class Speller:
     """The frequent words of a corpus; finds the one that a rare word is a slip of.
 
-    `counts` holds the number of texts of each frequent word. A frequent word with a neighbour at one slip that is eight
+    `counts` holds the number of texts of each frequent word. A frequent word with a neighbour at one slip that is eight (of four letters: twenty)
     times as frequent is itself a slip or variant of it.
     """
 
     def __init__(self, counts: dict[str, int]) -> None:
-        self.counts = counts
+        self.counts = counts = {**dict.fromkeys(VARIANTS, 1), **counts}
         self.index: dict[str, list[str]] = {}
         for word in counts:
             if len(word) >= 4 and _LATIN.fullmatch(word):
-                for short in _shortened(word, _reach(word)):
+                for short in shortened(word, _reach(word)):
                     self.index.setdefault(short, []).append(word)
         self.same: dict[str, str] = {}
         for word in sorted(counts, key=lambda w: (counts[w], w)):
-            if len(word) >= 5 and _LATIN.fullmatch(word):
-                better = [w for w in self._near(word, 1) if w != word and counts[w] >= 8 * counts[word]]
+            if len(word) >= 4 and word not in VARIANTS and _LATIN.fullmatch(word):
+                better = [w for w in self._near(word, 1) if w != word and counts[w] >= (8 if len(word) > 4 else 20) * counts[word]]
                 if better:
                     self.same[word] = max(better, key=lambda w: (counts[w], w))
         self.fix = lru_cache(200_000)(self._fix)
 
     def _near(self, word: str, most: int) -> set[str]:
-        return {w for short in _shortened(word, most) for w in self.index.get(short, ()) if slips_within(word, w, most)}
+        return {w for short in shortened(word, most) for w in self.index.get(short, ()) if slips_within(word, w, most)}
 
     def _fix(self, word: str) -> tuple[str, bool]:
         """The usual spelling, and whether it is a frequent word."""
@@ -114,13 +91,14 @@ class Speller:
             return VARIANTS.get(word, word), True
         if len(word) < 4 or not _LATIN.fullmatch(word):
             return word, False
-        for most in range(1, _reach(word) + 1):
-            near = [w for w in self._near(word, most) if most == 1 or w[0] == word[0]]
-            if near:
-                best = max(near, key=lambda w: (self.counts[w], w))
-                best = self.same.get(best, best)
-                return VARIANTS.get(best, best), True
-        return word, False
+        limit = 1.75 if len(word) < 7 else 2.0
+        near = [(d, -self.counts[w], w) for w in self._near(word, _reach(word)) if (d := slip_distance(word, w, limit)) <= limit]
+        near = [x for x in near if x[0] <= 1 or x[2][0] == word[0]]
+        if not near:
+            return word, False
+        best = min(near)[2]
+        best = self.same.get(best, best)
+        return VARIANTS.get(best, best), True
 
 
 def content_key(key: str, fix: Callable[[str], tuple[str, bool]]) -> tuple[str, str]:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.canon import WORDS, fold
 from granary.llm.skew import attach
+from granary.llm.slips import slip_distance
 from granary.session import materialize
 
 #: Least Jaccard similarity of the character pairs of a candidate.
@@ -28,42 +29,10 @@ ANY_KIND = "*"
 DECORATIONS = frozenset(
     "the a of hybrid desi local improved organic fresh irrigated rainfed crop crops problem problems plant plants field var variety type".split()
 )
-#: Letters that are often typed or heard for each other.
-ALIKE = [set("aeiou"), set("lr"), set("bp"), set("dt"), set("gkjcq"), set("mn"), set("szc"), set("vwb"), set("yi"), set("fp"), set("zj")]
-_CLOSE = {(a, b) for group in ALIKE for a in group for b in group}
 PARTS = regex.compile(r"[()\[\]{}/|,;:]|\s[-–—]\s|(?<=\p{Nd})[-–—](?=\p{L})")
 CODE = regex.compile(r"(?:\p{L}{0,3}\p{Nd}+\p{L}{0,2})|x")
 
 
-def slip_distance(a: str, b: str, most: float) -> float:
-    """Edit distance with swaps of neighbours; letters alike and doubled letters cost less. Beyond `most`: most + 1."""
-    if a == b:
-        return 0.0
-    if abs(len(a) - len(b)) * 0.6 > most:
-        return most + 1
-    before, last = [], [0.8 * j for j in range(len(b) + 1)]
-    for i, x in enumerate(a, 1):
-        row = [0.8 * i]
-        for j, y in enumerate(b, 1):
-            if x == y:
-                best = last[j - 1]
-            else:
-                best = last[j - 1] + (0.7 if (x, y) in _CLOSE else 1.0)
-            drop = last[j] + (0.6 if i > 1 and a[i - 2] == x else 0.8)
-            add = row[j - 1] + (0.6 if j > 1 and b[j - 2] == y else 0.8)
-            if drop < best:
-                best = drop
-            if add < best:
-                best = add
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y and before[j - 2] + 0.8 < best:
-                best = before[j - 2] + 0.8
-            row.append(best)
-        if min(row) > most:
-            return most + 1
-        before, last = last, row
-    return last[-1]
-
-
 def squeeze(words: list[str]) -> str:
     return "".join(words)
 
