@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import copies, history, language, mapping, pairs
+from granary.llm import copies, history, language, mapping, pairs, scans
 from granary.session import table
 
 
@@ -30,12 +30,16 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.find_defects(table(spark, d, "qna_groups"), table(spark, d, "documents"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.find_noise(table(spark, d, "page_blocks"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return language.find_languages(table(spark, d, "kcc_calls"), table(spark, d, "normalized_rows"), table(spark, d, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_records, p2_found, p3_found, p4_found, p6_found)
+    f.__name__: f for f in (p1_found, p1_records, p2_found, p3_found, p4_found, p5_found, p6_found)
 }
 #: DuckDB SQL of those queries that SQL can express.
 ORACLES: dict[str, str] = {}
