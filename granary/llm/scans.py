@@ -40,6 +40,8 @@ EDGE_LINES = 2
 #: A short line repeated so often at the pages' edges of a book is one of its titles.
 TITLE_LEAST = 3
 
+#: Confusions that spoil too few words to be learnt from them.
+KNOWN_CONFUSIONS = {("m", "rn")}
 HYPHEN = "-‐‑–—¬­"
 LINE_BREAK = regex.compile(rf"(\S*?\p{{L}}\S*?)([{HYPHEN}])[ \t ]*\Z")
 STRIP_LEFT = regex.compile(r"\A[\s(\[{\"'“‘|*•.,;:]+")
@@ -201,6 +203,7 @@ def train_editor(counts: dict[str, int], compounds: dict[str, int], odd: list[st
     # One letter for one other letter is more often another word than a misreading, so it needs ten times the share.
     letter = lambda k: len(k[0]) == len(k[1]) == 1 and k[0].isalpha()
     good = {k for k, n in changes.items() if n >= max(3, CONFUSION_SHARE * total * (10 if letter(k) else 1))}
+    good |= KNOWN_CONFUSIONS
     single = defaultdict(list)
     for a, b in good:
         if len(a) == len(b) == 1:
@@ -433,9 +436,10 @@ def running_headers(rows: DataFrame) -> DataFrame:
     counted = titles.groupBy("book", "key").agg(F.count(F.lit(1)).alias("n"))
     named = rows.filter("kind = 'heading' and key <> ''").select(F.coalesce("book", F.lit("")).alias("book"), "key").distinct()
     known = materialize(counted.filter(F.col("n") >= TITLE_LEAST).select("book", "key").unionByName(named).distinct(), "titles")
-    squeezed = F.regexp_replace("key", " ", "")
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(squeezed) - 3, F.lit(1))), lambda i: F.substring(squeezed, i, F.lit(4))))
-    pieces = lambda df, name: df.select("book", F.col("key").alias(name), F.explode(grams).alias("piece"))
+    starts = "sequence(1, greatest(length(squeezed) - 3, 1))"
+    grams = F.expr(f"array_distinct(transform({starts}, i -> substring(squeezed, i, 4)))")
+    squeezed = lambda df: df.withColumn("squeezed", F.regexp_replace("key", " ", "")).withColumn("pieces", grams)
+    pieces = lambda df, name: squeezed(df).select("book", F.col("key").alias(name), F.explode("pieces").alias("piece"))
     near = (
         pieces(counted, "key").join(pieces(known, "title"), ["book", "piece"]).select("book", "key", "title").distinct()
         .filter(F.pandas_udf(_near_title, "boolean")("key", "title")).select("book", "key")
