@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import copies, history, language, mapping, pairs, scans
+from granary.llm import copies, history, language, mapping, pairs, scans, stuffing
 from granary.session import table
 
 
@@ -38,8 +38,12 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return language.find_languages(table(spark, d, "kcc_calls"), table(spark, d, "normalized_rows"), table(spark, d, "documents"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return stuffing.find_stuffed(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_records, p2_found, p3_found, p4_found, p5_found, p6_found)
+    f.__name__: f for f in (p1_found, p1_records, p2_found, p3_found, p4_found, p5_found, p6_found, p9_found)
 }
 #: DuckDB SQL of those queries that SQL can express.
 ORACLES: dict[str, str] = {}
