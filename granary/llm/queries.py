@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import copies, history, language, mapping, pairs, scans, stuffing
+from granary.llm import copies, history, language, mapping, mixing, packing, pairs, scans, stuffing
 from granary.session import table
 
 
@@ -38,12 +38,28 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return language.find_languages(table(spark, d, "kcc_calls"), table(spark, d, "normalized_rows"), table(spark, d, "documents"))
 
 
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(table(spark, d, "documents"), table(spark, d, "pack_plans"))
+
+
+def p7_unused(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packing_report(p7_containers(spark, d), table(spark, d, "pack_plans"))
+
+
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_report(p8_mixture(spark, d), table(spark, d, "mix_targets"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return stuffing.find_stuffed(table(spark, d, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_records, p2_found, p3_found, p4_found, p5_found, p6_found, p9_found)
+    f.__name__: f for f in (p1_found, p1_records, p2_found, p3_found, p4_found, p5_found, p6_found, p7_containers, p7_unused, p8_mixture, p8_shares, p9_found)
 }
 #: DuckDB SQL of those queries that SQL can express.
 ORACLES: dict[str, str] = {}
