@@ -119,6 +119,7 @@ def content_key(key: str, fix: Callable[[str], tuple[str, bool]]) -> tuple[str,
                 out.append(word)
             elif len(word) > 3 or not word.isascii():
                 anchors.append(word)
+                out.append(f"?{word}")
         return out
 
     if VALUE_START in key:
@@ -142,6 +143,9 @@ def content_key(key: str, fix: Callable[[str], tuple[str, bool]]) -> tuple[str,
     else:
         flat = [pair for label, value in fields for pair in [*((w, True) for w in label), *value]] if fields else words
         content = keep(flat, FILLERS | PLACE_WORDS)
+    # One rare word is the place, which may stand anywhere; of several, their order may tell who does what.
+    if sum(w[0] == "?" for w in content) < 2:
+        content = [w for w in content if w[0] != "?"]
     return " ".join(sorted(anchors)), " ".join(content)
 
 

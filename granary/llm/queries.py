@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm import copies, history, language, mapping, mixing, packing, pairs, scans, stuffing
+from granary.llm.canon import FORM_LABELS
 from granary.session import table
 
 
@@ -62,4 +63,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (p1_found, p1_records, p2_found, p3_found, p4_found, p5_found, p6_found, p7_containers, p7_unused, p8_mixture, p8_shares, p9_found)
 }
 #: DuckDB SQL of those queries that SQL can express.
-ORACLES: dict[str, str] = {}
+_LABELS = "|".join(sorted(FORM_LABELS, key=lambda x: (-len(x), x)))
+_RECORDS = rf"""
+with a as (select call_id, lower(nfc_normalize(querytext)) as t from kcc_calls where querytext is not null),
+b as (select call_id, regexp_replace(regexp_replace(t, '(\p{{Nd}})([./-])(\p{{Nd}})', '\1' || chr(57344) || '\2' || chr(57344) || '\3', 'g'), '(\p{{Nd}})([./-])(\p{{Nd}})', '\1' || chr(57344) || '\2' || chr(57344) || '\3', 'g') as t from a),
+w as (select call_id, array_to_string(regexp_extract_all(t, '(?:[\p{{L}}\p{{M}}\p{{Nd}}]|' || chr(57344) || '[./-]' || chr(57344) || ')+'), ' ') as w from b),
+f as (select call_id, w, string_split(regexp_replace(' ' || w || ' ', ' ({_LABELS})\b', chr(1) || '\1' || chr(2), 'g'), chr(1)) as fields from w where regexp_matches(w, '[\p{{L}}\p{{Nd}}]')),
+g as (select *, list_transform(list_filter(fields, lambda x: trim(x) <> ''), lambda x: trim(x)) as kept, list_transform(fields[2:], lambda x: split_part(x, chr(2), 1)) as labels from f),
+r as (select call_id, case when fields[1] = '' and len(labels) >= 2 and len(list_distinct(labels)) = len(labels) then array_to_string(list_sort(kept), chr(1)) else w end as record from g)
+"""
+ORACLES: dict[str, str] = {
+    "p1_found": _RECORDS
+    + "select first as keep_id, call_id from (select call_id, min(call_id) over (partition by record) as first from r) where first < call_id",
+}

@@ -147,16 +147,20 @@ class Editor:
         bare = word.rstrip("!")
         return self.odd_sign(bare) and not any(ch in "@/\\" for ch in bare) and bare.lower() not in self.lexicon
 
-    def joins(self, left: str, mark: str, right: str) -> bool:
-        """Whether the mark at a line's end divides a word (and isn't a part of it)."""
+    def joins(self, left: str, mark: str, right: str, after: str = "") -> bool:
+        """Whether the mark at a line's end divides a word (and isn't a part of it); `after` is the word behind."""
         a, b = core(left).lower(), core(right).lower()
         b = b.split("-")[0] if b.split("-")[0] else b
         if not a or not b or not right[:1].isalpha() and not self.read(a + b):
             return False
         head = a.rsplit("-", 1)[-1]
         whole, compound = self.lexicon.get(head + b, 0), self.compounds.get(f"{head}-{b}", 0)
+        if whole and compound:
+            if mark != "-":
+                return True
+            return f"{head}-{b} {core(after).lower()}" not in self.compounds if after else whole >= compound
         if whole or compound:
-            return whole >= compound
+            return bool(whole)
         if self.read(head + b):
             return True
         if mark != "-":
@@ -320,7 +324,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 broken = bool(LINE_BREAK.search(line))
                 inner = tokens[int(carried) : len(tokens) - broken]
                 carried = broken
-                counts.update(w.lower() for t in inner if len(w := core(t)) > 1)
+                words = [core(t).lower() for t in inner]
+                counts.update(w for w in words if len(w) > 1)
+                # What follows a compound tells it from the same word written as one.
+                counts.update(f"{w} {after}" for w, after in zip(words, words[1:]) if after and COMPOUND.match(w))
         if len(counts) > 200_000:
             yield flush()
             counts.clear()
@@ -333,17 +340,25 @@ def fit_editor(pages: DataFrame) -> Editor:
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     least = max(LEXICON_LEAST, int(LEXICON_SHARE * total))
     frequent = {r["word"]: r["n"] for r in counted.filter(F.col("n") >= least).collect()}
-    odd = [r["word"] for r in counted.filter((F.length("word") >= 4) & (F.length("word") <= 16) & ~F.col("word").rlike(r"^[\p{L}-]+$|^[0-9.,/|%-]+$")).orderBy(F.xxhash64("word")).limit(ODD_SAMPLE // 2).collect()]
+    odd = [r["word"] for r in counted.filter((F.length("word") >= 4) & (F.length("word") <= 16) & ~F.col("word").rlike(r"^[\p{L}-]+$|^[0-9.,/|%-]+$| ")).orderBy(F.xxhash64("word")).limit(ODD_SAMPLE // 2).collect()]
     odd += [r["word"] for r in counted.filter((F.length("word") >= 4) & (F.length("word") <= 16) & F.col("word").rlike(r"^\p{L}+$") & (F.col("n") < max(40, 20 * least))).orderBy(F.xxhash64("word")).limit(ODD_SAMPLE // 2).collect()]
-    compounds = {w: n for w, n in frequent.items() if COMPOUND.match(w)}
+    compounds = {w: n for w, n in frequent.items() if COMPOUND.match(w.partition(" ")[0])}
     return train_editor(frequent, compounds, sorted(set(odd)))
 
 
 _ROWS = (
     "kind string, block_id bigint, book string, page int, line_no bigint, key string, heading string, text string, mark string, "
-    "nexts array<struct<line_no:bigint,token:string>>"
+    "nexts array<struct<line_no:bigint,token:string,after:string>>"
 )
-_NEXTS = pa.list_(pa.struct([("line_no", pa.int64()), ("token", pa.string())]))
+_NEXTS = pa.list_(pa.struct([("line_no", pa.int64()), ("token", pa.string()), ("after", pa.string())]))
+
+
+def _first_words(lines: list[str], at: list[int]) -> list[dict]:
+    out = []
+    for j in at:
+        words = lines[j].split()
+        out.append({"line_no": j + 1, "token": words[0], "after": words[1] if len(words) > 1 else ""})
+    return out
 
 
 def _page_rows(block: int, book: str | None, page: int | None, text: str, editor: Editor) -> Iterator[tuple]:
@@ -377,25 +392,23 @@ def _page_rows(block: int, book: str | None, page: int | None, text: str, editor
         left, mark = tokens[-1][: tokens[-1].rfind(found[2])] if found[2] in tokens[-1] else found[1], found[2]
         rest = body[at + 1 :]
         if rest and i not in open_next and rest[0] not in edge:
-            token = lines[rest[0]].split()[0]
+            follow = _first_words(lines, rest[:1])[0]
             carried = True
-            joined, spoilt = judge_break(left, mark, token, editor)
+            joined, spoilt = judge_break(left, mark, follow["token"], follow["after"], editor)
             if joined:
                 yield ("split_word", block, book, page, i + 1, None, None, None, None, None)
             for place in spoilt:
                 yield ("misread", block, book, page, (i if place == 0 else rest[0]) + 1, None, None, None, None, None)
         else:
             carried = bool(rest)
-            nexts = [{"line_no": j + 1, "token": lines[j].split()[0]} for j in rest[: 2 * EDGE_LINES]]
-            yield ("open", block, book, page, i + 1, None, None, left, mark, nexts)
-    heads = [{"line_no": j + 1, "token": lines[j].split()[0]} for j in body[: 2 * EDGE_LINES]]
-    yield ("head", block, book, page, 0, None, None, None, None, heads)
+            yield ("open", block, book, page, i + 1, None, None, left, mark, _first_words(lines, rest[: 2 * EDGE_LINES]))
+    yield ("head", block, book, page, 0, None, None, None, None, _first_words(lines, body[: 2 * EDGE_LINES]))
 
 
-def judge_break(left: str, mark: str, right: str, editor: Editor) -> tuple[bool, list[int]]:
+def judge_break(left: str, mark: str, right: str, after: str, editor: Editor) -> tuple[bool, list[int]]:
     """Whether the words are one, and which of the two sides (0, 1) are misread."""
     a, b = core(left), core(right)
-    joined = editor.joins(left, mark, right)
+    joined = editor.joins(left, mark, right, after)
     if not joined:
         return False, [k for k, part in enumerate((a, b)) if part and editor.misread(part)]
     head = a.rsplit("-", 1)[-1]
@@ -474,6 +487,7 @@ def find_noise(pages: DataFrame) -> DataFrame:
         F.coalesce("here.token", "next_page.first.token").alias("token"),
         F.when(F.col("here").isNotNull(), F.col("block_id")).otherwise(F.col("next_page.block_id")).alias("to_block"),
         F.coalesce("here.line_no", "next_page.first.line_no").alias("to_line"),
+        F.coalesce("here.after", "next_page.first.after", F.lit("")).alias("after"),
     ).filter("token is not null")
     shared = pages.sparkSession.sparkContext.broadcast(editor)
 
@@ -481,8 +495,8 @@ def find_noise(pages: DataFrame) -> DataFrame:
         own = shared.value
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
-            for block, line, text, mark, token, to_block, to_line in zip(*(batch.column(i).to_pylist() for i in range(7))):
-                joined, spoilt = judge_break(text, mark, token, own)
+            for block, line, text, mark, token, to_block, to_line, after in zip(*(batch.column(i).to_pylist() for i in range(8))):
+                joined, spoilt = judge_break(text, mark, token, after, own)
                 found = [(block, line, "split_word")] if joined else []
                 found += [((block, line) if side == 0 else (to_block, to_line)) + ("misread",) for side in spoilt]
                 for row in found:
