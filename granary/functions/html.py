@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 #: Elements whose content is no article text, and elements without an end tag.
 SKIPPED = frozenset({"script", "style", "noscript", "footer"})
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+LISTS = ("ul", "ol")
 LEAST = 20
 
 
@@ -32,8 +33,10 @@ class _Article(HTMLParser):
             self.form, self.has_form = self.form + 1, True
         elif tag in SKIPPED:
             self.skip += 1
+        elif tag in LISTS:
+            self.open.append([tag])
         elif tag in ("p", "li"):
-            if tag == "p" and self.open and self.open[-1][0] == "p":
+            if self.open and self.open[-1][0] == tag:  # its end tag was left out
                 self.open.pop()
             block = [tag]
             self.blocks.append((self.form > 0, block))
@@ -44,7 +47,7 @@ class _Article(HTMLParser):
             self.skip = max(0, self.skip - 1)
         elif tag == "form":
             self.form = max(0, self.form - 1)
-        elif tag in ("p", "li"):
+        elif tag in ("p", "li", *LISTS):
             for i in range(len(self.open) - 1, -1, -1):
                 if self.open[i][0] == tag:
                     del self.open[i:]

@@ -15,11 +15,12 @@ def detect_encoding(path: str) -> str:
     """The first encoding in which the file's first bytes can be read."""
     with open(path, "rb") as data:
         head = data.read(SNIFF)
+        cut = bool(data.read(1))
     for encoding in ENCODINGS:
         try:
             head.decode(encoding)
         except UnicodeDecodeError as e:
-            if e.start < len(head) - 4:  # a character cut at the end is no error
+            if not cut or e.start < len(head) - 4:  # a character cut at the end is no error
                 continue
         return "utf-8-sig" if encoding == "utf-8" and head.startswith(b"\xef\xbb\xbf") else encoding
     return "latin-1"
