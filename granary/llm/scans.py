@@ -62,11 +62,19 @@ RUNNING_PARTS = regex.compile(r"^[\W\p{Nd}]*(?:\b(?:chapter|ch|part|section)\b[\
 TITLE_WORD = regex.compile(r"\p{L}\S{3,}|\S\p{L}{3,}")
 
 
+@lru_cache(300_000)
 def core(token: str) -> str:
     """A token without the marks around it."""
     return STRIP_RIGHT.sub("", STRIP_LEFT.sub("", token))
 
 
+@lru_cache(300_000)
+def lower_core(token: str) -> tuple[str, bool]:
+    """`core` in lower case, and whether it is a compound."""
+    word = core(token).lower()
+    return word, bool(COMPOUND.match(word))
+
+
 class Editor:
     """An averaged perceptron over the characters of a word; labels are K (keep), D (delete) and R:x (replace by x)."""
 
@@ -74,6 +82,7 @@ class Editor:
         self.lexicon, self.compounds, self.weights, self.options = lexicon, compounds, weights, options
         self.signs = {a for a in options if len(a) == 1 and not a.isalpha()} | {c for a in options if len(a) > 1 for c in a if not c.isalnum()}
         self.read = lru_cache(200_000)(self._read)
+        self.misread = lru_cache(300_000)(self._misread)
 
     def __reduce__(self):
         return Editor, (self.lexicon, self.compounds, self.weights, self.options)
@@ -134,7 +143,8 @@ class Editor:
         """Whether a sign that the scanner puts for letters stands inside a word."""
         return any(ch in self.signs and 0 < i < len(word) - 1 and word[i - 1].isalpha() and word[i + 1].isalpha() for i, ch in enumerate(word) if not ch.isalnum())
 
-    def misread(self, token: str) -> bool:
+    def _misread(self, token: str) -> bool:
+        """Whether a token is, or has a part that is, wrongly recognised."""
         word = core(token)
         if not word:
             return False
@@ -324,10 +334,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 broken = bool(LINE_BREAK.search(line))
                 inner = tokens[int(carried) : len(tokens) - broken]
                 carried = broken
-                words = [core(t).lower() for t in inner]
-                counts.update(w for w in words if len(w) > 1)
+                words = [lower_core(t) for t in inner]
+                counts.update([w for w, _ in words if len(w) > 1])
                 # What follows a compound tells it from the same word written as one.
-                counts.update(f"{w} {after}" for w, after in zip(words, words[1:]) if after and COMPOUND.match(w))
+                counts.update([f"{w} {after[0]}" for (w, compound), after in zip(words, words[1:]) if compound and after[0]])
         if len(counts) > 200_000:
             yield flush()
             counts.clear()
