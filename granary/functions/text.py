@@ -31,6 +31,13 @@ def _composed(form: str):
     return run
 
 
+def _mapped(function):
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(function)
+
+    return run
+
+
 def nfc(text: Column) -> Column:
     """Canonical composition (an Arrow function; Spark has none built in)."""
     return F.pandas_udf(_composed("NFC"), "string")(text)
@@ -89,11 +96,50 @@ def strip_prefix(text: Column, prefixes: list[str]) -> Column:
     return F.regexp_replace(text, "^(?:" + "|".join(map(escaped, listed)) + r")\s*", "")
 
 
+#: Up to so many rules are folded by the JVM; more are looked up by the words of the text.
+FOLDED_RULES = 64
+_RUN = re.compile(r"\w+")
+
+
+class TermReplacer:
+    """Ordered whole-word replacements, each on the result of the last, by an index on the keys' first words.
+
+    A key can only match where its first run of word characters is a whole word of the text, so a text meets the few
+    rules of its own words and not all of them.
+    """
+
+    def __init__(self, ordered: list[tuple[str, str]]) -> None:
+        self.rules = [(re.compile(rf"\b{re.escape(k)}\b"), v) for k, v in ordered]
+        self.by_word: dict[str, list[int]] = {}
+        self.always: list[int] = []
+        for i, (key, _) in enumerate(ordered):
+            first = _RUN.search(key)
+            (self.by_word.setdefault(first[0], []) if first else self.always).append(i)
+
+    def __call__(self, text: str | None) -> str | None:
+        done = -1
+        while text is not None:
+            near = sorted({i for w in set(_RUN.findall(text)) for i in self.by_word.get(w, ()) if i > done} | {i for i in self.always if i > done})
+            for i in near:
+                pattern, value = self.rules[i]
+                changed, n = pattern.subn(lambda _, v=value: v, text)
+                done = i
+                if n and changed != text:
+                    text = changed
+                    break
+            else:
+                return text
+        return None
+
+
 def replace_terms(text: Column, replacements: dict[str, str]) -> Column:
     """Whole-word replacements one after another, the longest key first; each works on the result of the last."""
     ordered = sorted(replacements.items(), key=lambda kv: -len(kv[0]))
     if not ordered:
         return text
+    if len(ordered) > FOLDED_RULES:
+        replacer = TermReplacer(ordered)
+        return F.pandas_udf(_mapped(replacer), "string")(text)
     rules = F.array(*[F.struct(F.lit(rf"\b{escaped(k)}\b").alias("p"), F.lit(v.replace("\\", "\\\\").replace("$", "\\$")).alias("r")) for k, v in ordered])
     return F.reduce(rules, text, lambda so_far, rule: F.regexp_replace(so_far, rule["p"], rule["r"]))
 

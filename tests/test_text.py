@@ -59,6 +59,18 @@ def test_replacements_feed_each_other_longest_first(spark):
     assert [r[0] for r in got] == ["chili and chili", "$1 $x"]
 
 
+def test_many_rules_equal_the_fold(spark):
+    import random
+
+    rng = random.Random(3)
+    words = ["ab", "cd", "ef", "gh", "(ij)", "kl"]
+    rules = {" ".join(rng.choices(words, k=rng.randint(1, 3))): " ".join(rng.choices(words, k=rng.randint(1, 2))) for _ in range(60)}
+    texts = [" ".join(rng.choices(words + ["x"], k=rng.randint(0, 12))) for _ in range(80)] + [None]
+    folded = [r[0] for r in apply(spark, texts, text.replace_terms(F.col("v"), rules))]
+    replacer = text.TermReplacer(sorted(rules.items(), key=lambda kv: -len(kv[0])))
+    assert [replacer(t) for t in texts] == folded
+
+
 def test_questions_and_pages(spark):
     got = apply(spark, ["according to the text, what is it?", "from the given chapter name two"], text.clean_question(F.col("v")))
     assert [r[0] for r in got] == ["What is it?", "Name two"]
