@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Fixed value: Unicode white space as a character class that Java and RE2 both read.
 SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: The same characters as a string, for trimming without a regular expression.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: Fixed value: what counts as a word character beside white space, slash, percent sign and hyphen.
 NOT_WORD = r"[^\p{L}\p{M}\p{Nd}\p{Pc}\s/%-]"
 NUMBER = r"\p{Nd}+(?:[.,]\p{Nd}+)?"
@@ -49,7 +51,7 @@ def nfkc(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def squeeze(text: Column) -> Column:

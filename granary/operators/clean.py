@@ -33,7 +33,10 @@ def clean_calls(calls: DataFrame, file: str = "file_name", row: str = "row_no")
 
 
 def clean_and_dedup(calls: DataFrame, file: str = "file_name", row: str = "row_no") -> DataFrame:
-    """Cleaned records with an English answer, the first of each question in file and row order, numbered in that order."""
-    english = clean_calls(calls, file, row).filter(is_english(F.col("answer")))
+    """Cleaned records with an English answer, the first of each question in file and row order, numbered in that order.
+
+    Cleaning leaves the letters of an answer, so the language is judged first and only what stays is cleaned.
+    """
+    english = clean_calls(require(calls).filter(is_english(F.col("kccans"))), file, row)
     first = keep_first(english, [F.col("question")], [file, row])
     return with_row_ids(first, [file, row])
