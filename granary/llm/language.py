@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LANGUAGES = ("en", "hi", "mr", "bn", "ta", "te", "gu", "pa")
+#: Where the languages' Unicode blocks begin.
+BLOCKS = {"hi": 0x900, "mr": 0x900, "bn": 0x980, "pa": 0xA00, "gu": 0xA80, "ta": 0xB80, "te": 0xC00}
 BUCKETS = 1 << 15
 WIDTH = 16
 #: The bound of the labelled sample: documents of each language, and labelled questions in all.
@@ -28,7 +30,7 @@ EPOCHS = 5
 #: Cost of a change of language inside a sentence, in log-likelihood; a name or product doesn't pay for it.
 SWITCH = 11.0
 #: Below this calibrated confidence a segment is rejected.
-REJECT = 0.35
+REJECT = 0.25
 #: Evidence of a sentence below this joins it to the sentence before.
 WEAK = 2.0
 
@@ -182,6 +184,9 @@ class LanguageModel:
         words = WORD.findall(text)
         if not words:
             return None
+        native = [w for w in words if not w.isascii()]
+        if 2 * len(native) >= len(words):  # names, products and courtesies in Latin letters don't count then
+            words = native
         known = [self._word(w) for w in words]
         top = int(sum(w[2] for w in known).argmax())
         mean = sum(w[0] for w in known) / sum(w[1] for w in known) + self.bias
@@ -219,27 +224,37 @@ def _fit(texts: list[list[str]], labels: list[int], epochs: int, seed: int = 7)
     return (emb @ out.T).astype(np.float32), bias
 
 
-def train_language_model(labelled: list[tuple[str, str]], seed: int = 7, epochs: int = EPOCHS) -> LanguageModel:
+def in_script(text: str, language: str) -> bool:
+    """Whether a text has letters of the Indic block of a language."""
+    start = BLOCKS.get(language)
+    return start is not None and any(start <= ord(ch) < start + 0x80 for ch in text)
+
+
+def train_language_model(*groups: list[tuple[str, str]], seed: int = 7, epochs: int = EPOCHS) -> LanguageModel:
     """A model from (language, text) pairs; texts of unknown languages or without words are left out.
 
+    Each group of pairs has the same part in a language's texts, however large it is.
+
     Sentences and short windows of words are drawn, TEXTS for each language and script; texts in an Indic script also
     give romanised copies. A tenth is held out for the temperature.
     """
     rng = np.random.default_rng(seed)
-    pools: dict[tuple[int, bool], list[list[str]]] = {}
-    for language, text in labelled:
-        if language in LANGUAGES:
-            for unit in UNIT.split(text):
+    pools: dict[tuple[int, bool], dict[int, list[list[str]]]] = {}
+    for group, labelled in enumerate(groups):
+        for language, text in labelled:
+            for unit in UNIT.split(text) if language in LANGUAGES else ():
                 words = WORD.findall(BRACKET.sub(" ", unit))
                 if words:
                     native = [w for w in words if not w.isascii()]
-                    key = LANGUAGES.index(language)
-                    pools.setdefault((key, not native), []).append(words if not native else native)
+                    pool = pools.setdefault((LANGUAGES.index(language), not native), {})
+                    pool.setdefault(group, []).append(native or words)
     texts: list[list[str]] = []
     labels: list[int] = []
 
-    def draw(key: int, pool: list[list[str]], roman: bool) -> None:
+    def draw(key: int, by_group: dict[int, list[list[str]]], roman: bool) -> None:
+        groups_of_key = list(by_group.values())
         for i in range(TEXTS):
+            pool = groups_of_key[(i // 3) % len(groups_of_key)]
             words = pool[int(rng.integers(len(pool)))]
             if i % 3:
                 n = int(rng.integers(1, 9))
@@ -296,17 +311,19 @@ def sample_questions(questions: DataFrame) -> list[tuple[str, str]]:
 
 
 def fit_language_model(documents: DataFrame, questions: DataFrame | None = None) -> LanguageModel:
-    """A model fit in two rounds: documents alone, then with those questions whose noisy label the first round shares.
+    """A model fit in two rounds: documents alone, then with the questions whose noisy label the first round shares.
+
+    A question in the script of its label is kept too: a wrong label rarely happens to be one of the same script.
 
-    The first round has fewer epochs. Without labelled documents the questions are taken as they are labelled.
+    Without labelled documents the questions are taken as they are labelled.
     """
     written = sample_documents(documents)
     asked = sample_questions(questions) if questions is not None else []
     if not written or not asked:
         return train_language_model(written or asked)
-    first = train_language_model(written, epochs=2)
-    agreed = [(language, text) for language, text in asked if (found := first.whole(text)) and found[0] == language]
-    return train_language_model(written + agreed)
+    first = train_language_model(written)
+    kept = [(k, text) for k, text in asked if (found := first.whole(text)) and (found[0] == k or in_script(text, k))]
+    return train_language_model(written, kept)
 
 
 _SEGMENTS = "record_id bigint, segment_no bigint, lang string, confidence double"
