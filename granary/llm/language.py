@@ -31,6 +31,10 @@ EPOCHS = 5
 SWITCH = 11.0
 #: Below this calibrated confidence a segment is rejected.
 REJECT = 0.25
+#: A label other than English on a text in Latin letters needs this confidence of the first round.
+SURE = 0.9
+#: A group's texts in a language and script count from so many on; fewer may all be wrongly labelled.
+POOL_LEAST = 15
 #: Evidence of a sentence below this joins it to the sentence before.
 WEAK = 2.0
 
@@ -252,7 +256,8 @@ def train_language_model(*groups: list[tuple[str, str]], seed: int = 7, epochs:
     labels: list[int] = []
 
     def draw(key: int, by_group: dict[int, list[list[str]]], roman: bool) -> None:
-        groups_of_key = list(by_group.values())
+        most = max(by_group.values(), key=len)
+        groups_of_key = [pool for pool in by_group.values() if len(pool) >= POOL_LEAST] or [most]
         for i in range(TEXTS):
             pool = groups_of_key[(i // 3) % len(groups_of_key)]
             words = pool[int(rng.integers(len(pool)))]
@@ -322,7 +327,11 @@ def fit_language_model(documents: DataFrame, questions: DataFrame | None = None)
     if not written or not asked:
         return train_language_model(written or asked)
     first = train_language_model(written)
-    kept = [(k, text) for k, text in asked if (found := first.whole(text)) and (found[0] == k or in_script(text, k))]
+    kept = []
+    for k, text in asked:
+        found = first.whole(text)
+        if found and (in_script(text, k) or (found[0] == k and (k == "en" or found[1] >= SURE))):
+            kept.append((k, text))
     return train_language_model(written, kept)
 
 
