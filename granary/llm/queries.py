@@ -35,6 +35,10 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return scans.find_noise(table(spark, d, "page_blocks"))
 
 
+def p5_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return scans.repair_pages(table(spark, d, "page_blocks"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return language.find_languages(table(spark, d, "kcc_calls"), table(spark, d, "normalized_rows"), table(spark, d, "documents"))
 
@@ -60,7 +64,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_records, p2_found, p3_found, p4_found, p5_found, p6_found, p7_containers, p7_unused, p8_mixture, p8_shares, p9_found)
+    f.__name__: f for f in (p1_found, p1_records, p2_found, p3_found, p4_found, p5_found, p5_paragraphs, p6_found, p7_containers, p7_unused, p8_mixture, p8_shares, p9_found)
 }
 #: DuckDB SQL of those queries that SQL can express.
 _LABELS = "|".join(sorted(FORM_LABELS, key=lambda x: (-len(x), x)))

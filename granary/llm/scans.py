@@ -3,7 +3,8 @@
 The words of all pages give a lexicon; confusions of the scanner are learnt by aligning odd words with it; an averaged
 perceptron then predicts for each character of a word whether to keep, replace or delete it, and whether the mark at the
 end of a line joins it with the next one. Running headers and page numbers are told by their place on the page, their
-form, and their repetition over the pages of the book.
+form, and their repetition over the pages of the book. The repair takes that noise out and puts the lines of each book
+together as paragraphs.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from functools import lru_cache
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm.skew import attach
 from granary.llm.slips import shortened, slips_within
+from granary.operators.ids import with_row_ids
 from granary.session import materialize
 
 #: A word belongs to the lexicon from this count, and this share of all words on; so the share bounds the lexicon.
@@ -60,6 +62,11 @@ HAS_FIGURE = regex.compile(r"\p{Nd}|^[\W_]*[ivxlcdmIVXLCDM]+[\W_]*$|^[\W_]*(?:pa
 CHAPTER_HEADING = regex.compile(r"\s*\p{L}\S{4,7}\s+\S{1,4}\s*:\s*(\S.*)")
 RUNNING_PARTS = regex.compile(r"^[\W\p{Nd}]*(?:\b(?:chapter|ch|part|section)\b[\W\p{Nd}]*)?|[\W\p{Nd}]+$", regex.IGNORECASE)
 TITLE_WORD = regex.compile(r"\p{L}\S{3,}|\S\p{L}{3,}")
+#: Lines that stay lines of their own: table rows, rules, list items.
+ROW = regex.compile(r"\s*(?:\|.*|.*\|.*\|.*|[-=_+|\s]{3,}|.*\S\s{2,}\S.*\s{2,}[\p{Nd}.,%]+\s*|(?:[-•*]|\(?[\p{Nd}]{1,3}[.)])\s+\S.*)")
+SENTENCE_END = regex.compile(r"[.!?…:]['\")\]”’]*\Z")
+#: Fragments in one window of the running paragraph number.
+STRETCH = 65_536
 
 
 @lru_cache(300_000)
@@ -157,6 +164,28 @@ class Editor:
         bare = word.rstrip("!")
         return self.odd_sign(bare) and not any(ch in "@/\\" for ch in bare) and bare.lower() not in self.lexicon
 
+    def repaired(self, token: str, opening: bool) -> str:
+        """A token as it should read; `opening` if it begins a sentence, which tells the case of a misread first letter."""
+        word = core(token)
+        if not word or not self.misread(token):
+            return token
+
+        def part(piece: str, first: bool) -> str:
+            found = self.read(piece) if piece else None
+            if not found:
+                return piece
+            text, places = found
+            letters = [ch for ch in piece if ch.isalpha()]
+            if len(letters) > 1 and all(ch.isupper() for ch in letters) and not text.isdigit():
+                return text.upper()
+            return text[:1].upper() + text[1:] if (first if 0 in places else piece[0].isupper()) else text
+
+        whole = self.read(word)
+        mended = part(word, opening) if whole else "-".join(part(x, opening and not i) for i, x in enumerate(word.split("-")))
+        at = STRIP_LEFT.match(token)
+        start = at.end() if at else 0
+        return token[:start] + mended + token[start + len(word) :]
+
     def joins(self, left: str, mark: str, right: str, after: str = "") -> bool:
         """Whether the mark at a line's end divides a word (and isn't a part of it); `after` is the word behind."""
         a, b = core(left).lower(), core(right).lower()
@@ -480,7 +509,10 @@ def find_noise(pages: DataFrame) -> DataFrame:
     Pages without block_id or text, or with blank text, give no row; a null book_key is a book of its own; null page numbers have no
     next page; a page that was scanned twice is judged twice; repeated rows of one block give their lines once.
     """
-    editor = fit_editor(pages)
+    return noise_lines(pages, fit_editor(pages))
+
+
+def noise_lines(pages: DataFrame, editor: Editor) -> DataFrame:
     rows = materialize(scan_pages(pages, editor), "scan")
     numbers = rows.filter("kind = 'page_number'").select("block_id", "line_no", F.lit("page_number").alias("noise_kind"))
     headers = running_headers(rows).select("block_id", "line_no", F.lit("running_header").alias("noise_kind"))
@@ -519,3 +551,117 @@ def find_noise(pages: DataFrame) -> DataFrame:
     body = inside.unionByName(crossing).distinct().join(furniture.select("block_id", "line_no"), ["block_id", "line_no"], "left_anti")
     both = furniture.groupBy("block_id", "line_no").agg(F.max("noise_kind").alias("noise_kind"))
     return body.unionByName(both)
+
+
+def page_fragments(text: str, gone: set[int], divided: set[int]) -> list[tuple[str, str, str, bool, bool]]:
+    """The pieces of a page without its furniture as (kind, text, mark, joined, opens).
+
+    Kinds are prose, heading and row. `mark` is the division mark that ended the last line and `joined` whether it is no part
+    of the word; `opens` tells that the piece goes on in the one before, as far as the page shows (of its first: may go on).
+    """
+    pieces: list[tuple[str, list[str], str, bool, bool]] = []
+    gap = True
+    for number, line in enumerate(text.split("\n"), 1):
+        if number in gone:
+            continue
+        tokens = line.split()
+        if not tokens:
+            gap = True
+            continue
+        last = pieces[-1] if pieces else None
+        unfinished = last is not None and last[0] == "prose" and (bool(last[2]) or not SENTENCE_END.search(last[1][-1]))
+        if CHAPTER_HEADING.fullmatch(line.strip()) and gap:
+            kind = "heading"
+        elif ROW.fullmatch(line) and not (unfinished and not gap and "|" not in line):
+            kind = "row"
+        else:
+            kind = "prose"
+        found = LINE_BREAK.search(line) if kind == "prose" else None
+        mark, joined = (found[2], number in divided) if found else ("", False)
+        if found:
+            end = tokens[-1]
+            tokens[-1] = end[: end.rfind(mark)]
+        goes_on = kind == "prose" and last is not None and last[0] == "prose" and (not gap or unfinished and (bool(last[2]) or core(tokens[0])[:1].islower()))
+        if goes_on:
+            kept = last[1]
+            if last[2]:
+                kept[-1] += ("" if last[3] else "-") + tokens[0]
+                tokens = tokens[1:]
+            pieces[-1] = ("prose", kept + tokens, mark, joined, last[4])
+        else:
+            pieces.append((kind, tokens, mark, joined, last is None and kind == "prose"))
+        gap = False
+    out = []
+    for kind, tokens, mark, joined, opens in pieces:
+        whole = " ".join(tokens)
+        out.append(("heading" if kind == "prose" and not mark and may_be_title(whole) and len(tokens) < 9 else kind, whole, mark, joined, opens))
+    return out
+
+
+def repair_pages(pages: DataFrame) -> DataFrame:
+    """(book_key STRING, paragraph_no BIGINT, block_id BIGINT, text STRING): the readable paragraphs of each book in order.
+
+    Furniture is left out, divided words are joined within and across pages, misread words are put right as far as the editor reads them; headings,
+    list items and table rows are paragraphs of their own. A paragraph goes on over the end of a page if its sentence does and the next page is there;
+    `block_id` is the page it begins on. Pages without block_id or with null or blank text have no paragraph; of a page scanned twice the smallest
+    block_id counts; pages without number come first and stand alone; null and empty book keys are one book, null.
+    """
+    editor = fit_editor(pages)
+    noise = materialize(noise_lines(pages, editor), "noise")
+    lines = lambda kinds: F.collect_set(F.when(F.col("noise_kind").isin(kinds), F.col("line_no")))
+    marks = noise.filter("noise_kind <> 'misread'").groupBy("block_id").agg(lines(["running_header", "page_number"]).alias("gone"), lines(["split_word"]).alias("divided"))
+    named = pages.select(F.col("block_id").cast("bigint").alias("block_id"), F.coalesce("book_key", F.lit("")).alias("book"), F.col("page_no").cast("int").alias("page"), "text")
+    named = named.filter("block_id is not null and trim(translate(text, '\n\t', '  ')) <> ''")
+    alone = F.when(F.col("page").isNull(), F.col("block_id"))
+    once = named.groupBy("book", "page", alone.alias("alone")).agg(F.min(F.struct("block_id", "text")).alias("first")).select("book", "page", "first.block_id", "first.text")
+    marked = once.join(marks, "block_id", "left").select("book", "page", "block_id", "text", "gone", "divided")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_())
+        for batch in batches:
+            rows = [
+                (book, page, block, at, *piece)
+                for book, page, block, text, gone, divided in zip(*(batch.column(i).to_pylist() for i in range(6)))
+                for at, piece in enumerate(page_fragments(text, set(gone or ()), set(divided or ())))
+            ]
+            columns = list(zip(*rows)) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["book", "page", "block_id", "at", "kind", "text", "mark", "joined", "opens"])
+
+    cuts = marked.mapInArrow(cut, "book string, page int, block_id bigint, at bigint, kind string, text string, mark string, joined boolean, opens boolean")
+    placed = materialize(with_row_ids(cuts, ["book", "page", "block_id", "at"], "pos"), "pieces")
+    unfinished = F.col("kind").eqNullSafe("prose") & ((F.col("mark") != "") | ~F.col("text").rlike(r"[.!?…:]['\")\]”’]*$"))
+    before = placed.filter(unfinished & F.col("page").isNotNull()).select((F.col("pos") + 1).alias("pos"), "book", (F.col("page") + 1).alias("page"), F.lit(True).alias("goes_on"))
+    joined = placed.join(before, ["pos", "book", "page"], "left")
+    stretch = F.floor((F.col("pos") - 1) / STRETCH)
+    started = joined.withColumn("starts", (~(F.col("opens") & F.coalesce("goes_on", F.lit(False)))).cast("long")).withColumn("stretch", stretch)
+    started = materialize(started, "starts")
+    # One row for each STRETCH pieces.
+    counted = started.groupBy("stretch").agg(F.sum("starts").alias("n")).withColumn("offset", F.sum("n").over(Window.orderBy("stretch")) - F.col("n")).drop("n")
+    numbered = started.withColumn("running", F.sum("starts").over(Window.partitionBy("stretch").orderBy("pos"))).join(F.broadcast(counted), "stretch")
+    numbered = numbered.withColumn("paragraph", F.col("running") + F.col("offset"))
+    gathered = numbered.groupBy("paragraph").agg(
+        F.min("book").alias("book"), F.min(F.struct("pos", "block_id")).alias("first"), F.sort_array(F.collect_list(F.struct("pos", "text", "mark", "joined", "kind"))).alias("pieces")
+    ).select("paragraph", "book", F.col("first.block_id").alias("block_id"), F.col("pieces.text").alias("texts"), F.col("pieces.mark").alias("marks"), F.col("pieces.joined").alias("joins"))
+    shared = pages.sparkSession.sparkContext.broadcast(editor)
+
+    def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            out = []
+            for texts, marks_, joins in zip(*(batch.column(i).to_pylist() for i in (3, 4, 5))):
+                raw = ""
+                for i, (text, mark, joined_) in enumerate(zip(texts, marks_, joins)):
+                    raw += text + (mark if i == len(texts) - 1 else "" if joined_ else "-" if mark else " ")
+                words, opening = [], True
+                for token in raw.split():
+                    words.append(own.repaired(token, opening))
+                    opening = bool(SENTENCE_END.search(token))
+                out.append(" ".join(words))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(out, pa.string())], names=["paragraph", "book", "block_id", "text"])
+
+    mended = materialize(gathered.mapInArrow(mend, "paragraph bigint, book string, block_id bigint, text string"), "paragraphs")
+    books = materialize(mended.groupBy("book").agg(F.min("paragraph").alias("least"), F.count(F.lit(1)).alias("n")), "books")
+    total = books.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return attach(mended, "book", books, "n", total).select(
+        F.when(F.col("book") != "", F.col("book")).alias("book_key"), (F.col("paragraph") - F.col("least") + 1).alias("paragraph_no"), "block_id", "text"
+    )

@@ -123,6 +123,22 @@ def test_scans(spark):
     assert scans.find_noise(df.limit(0)).count() == 0
 
 
+def test_repaired_paragraphs(spark):
+    noise = {
+        3: lambda b: [*b[:2], b[2].replace("dry", "dry."), "", *b[3:]],
+        5: lambda b: [*b[:-1], "release natural ene-"], 6: lambda b: [b[0], "mies in the evening.", "", "Z5 farmers keep the far¬", "mers free of rain-", "fed weeds.", "", "| Plot | Crop |", "", *b[1:]],
+    }
+    extra = [(99 + i, "c", i, "the farmers on rain-fed land keep weeds and rain-fed bunds free.") for i in range(1, 8)] + [(200, "d", 1, None), (201, None, None, " \n"), (None, "d", 2, "x"), (300, "c", 1, "scanned twice")]
+    df = spark.createDataFrame([(*r, "clash") for r in book(noise) + extra], "block_id long, book_key string, page_no int, text string, paragraph_no string")
+    got = {(r["book_key"], r["paragraph_no"]): (r["block_id"], r["text"]) for r in scans.repair_pages(df).collect()}
+    texts = [got["b", i][1] for i in range(1, max(n for b, n in got if b == "b") + 1)]
+    assert texts[0] == "Chapter 1: Leaf Diseases" and "Tillage" not in "".join(texts[1:]) and "Diseases" not in "".join(texts[1:])
+    assert any(t.endswith("release natural enemies in the evening.") for t in texts)
+    assert "25 farmers keep the farmers free of rain-fed weeds." in texts and "| Plot | Crop |" in texts
+    assert sorted(n for b, n in got if b == "c") == list(range(1, 8)) and {b for b, _ in got} == {"b", "c"}
+    assert scans.repair_pages(df.limit(0)).count() == 0
+
+
 def test_editor_reads_by_learnt_confusions():
     counts = {w: 100 for w in PROSE.split()} | {"number": 100, "office": 90}
     odd = ["we€ds", "fre€", "w€ath€r", "€vening", "stay5", "bund5", "cond1tions", "re1ease", "re1eas€", "natura1", "na+ural", "wea+her"] * 3
