@@ -277,29 +277,31 @@ def index_rows(classes: DataFrame) -> DataFrame:
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Within each band key, in order of arrival: each class with the first one that is nearly the same."""
-    at, leaders = None, []
+    """Within each band key, in order of arrival: each class with the first earlier one that is nearly the same.
+
+    Every class is compared with all earlier ones of its key and anchors, whether these have links or not.
+    """
+    at, earlier = None, {}
     for batch in batches:
         calls, targets = [], []
         for key, call, anchors, content in zip(*(batch.column(i).to_pylist() for i in range(4))):
             if key != at:
-                at, leaders = key, []
+                at, earlier = key, {}
             words = content.split()
-            for leader, leader_anchors, leader_words in leaders:
-                if leader_anchors == anchors and nearly_same(leader_words, words):
-                    if leader != call:
-                        calls.append(call)
-                        targets.append(leader)
-                    break
-            else:
-                leaders.append((call, anchors, words))
+            group = earlier.setdefault(anchors, [])
+            target = next((other for other, others in group if other != call and nearly_same(others, words)), None)
+            if target is not None:
+                calls.append(call)
+                targets.append(target)
+            group.append((call, words))
         yield pa.RecordBatch.from_arrays([pa.array(calls, pa.int64()), pa.array(targets, pa.int64())], names=["first_call", "target"])
 
 
 def probe(index: DataFrame, new: DataFrame | None = None) -> DataFrame:
     """(first_call, target): classes of `new` (by default of the index itself) and the earliest class nearly the same.
 
-    Only the band keys that occur in `new` are read from the index.
+    The target is nearly the same itself, not by way of a third class. Only the band keys that occur in `new` are read
+    from the index.
     """
     names = ["band_key", "first_call", "anchors", "content"]
     rows = index.select(*names)
@@ -338,8 +340,6 @@ def first_equals(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = classes.groupBy("anchors").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("anchors")
     index = materialize(index_rows(classes.join(shared, "anchors", "left_semi")), "bands")
     links = materialize(probe(index), "links")
-    hop = links.select(F.col("first_call").alias("target"), F.col("target").alias("further"))
-    links = links.join(hop, "target", "left").select("first_call", F.coalesce("further", "target").alias("target"))
     heads = marked.groupBy("anchors", "content").agg(F.min("first_call").alias("head"))
     texts = marked.join(heads, ["anchors", "content"]).select("key", "n", "head")
     return texts, links

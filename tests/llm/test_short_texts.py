@@ -156,3 +156,10 @@ def test_index_grows_by_batches(spark, tmp_path):
     assert [tuple(r) for r in found] == [(9, 1)]
     history.append_index(fresh, path)
     assert history.read_index(spark, path).select("first_call").distinct().count() == 3
+
+
+def test_chains_link_to_the_nearest_in_time(spark):
+    chain = [(1, "v", "a b c d e f"), (2, "v", "a b c d e f g h"), (3, "v", "a b c d e f g h i j"), (4, "v", "a b c d e f g h i j k l")]
+    index = history.index_rows(spark.createDataFrame(chain, "first_call long, anchors string, content string"))
+    one_key = index.withColumn("band_key", index.band_key * 0)
+    assert {tuple(r) for r in history.probe(one_key).collect()} == {(2, 1), (3, 2), (4, 2)}
