@@ -1,8 +1,9 @@
-"""Problem 3: new batches against all history, by persisted minwise band keys.
+"""Problem 3: new batches against all history, by persisted band keys.
 
 A text is brought to a content key: spelling slips are undone against the frequent words of the corpus, courtesies and
 small words dropped, named fields ordered. Its anchors (numbers, places and other rare words) must be equal for two texts
-to be nearly the same, so every band key hashes the anchors with minwise values of the remaining words.
+to be nearly the same, so every band key hashes the anchors with one of the first remaining words in a fixed order. So
+many of them are taken that two texts that pass the verification always share a key.
 """
 
 from __future__ import annotations
@@ -21,8 +22,6 @@ from granary.llm.skew import attach
 from granary.llm.slips import shortened, slip_distance, slips_within
 from granary.session import materialize
 
-BANDS = 8
-ROWS = 2
 #: A word is frequent from this share of the different texts on; so their number is bounded by text length / share.
 FREQUENT_SHARE = 0.0002
 FREQUENT_LEAST = 8
@@ -149,6 +148,11 @@ def content_key(key: str, fix: Callable[[str], tuple[str, bool]]) -> tuple[str,
     return " ".join(sorted(anchors)), " ".join(content)
 
 
+def most_loose(length: int) -> int:
+    """Words of a text of this length that may lack in a text that is not longer."""
+    return max(LOOSE_WORDS, int(LOOSE_SHARE * length))
+
+
 def nearly_same(a: list[str], b: list[str]) -> bool:
     """Whether two texts of equal anchors ask the same, by their content words.
 
@@ -159,7 +163,7 @@ def nearly_same(a: list[str], b: list[str]) -> bool:
         return True
     if {w for w in a if w[-1] == ":"} != {w for w in b if w[-1] == ":"}:
         return False
-    most = max(LOOSE_WORDS, int(LOOSE_SHARE * max(len(a), len(b))))
+    most = most_loose(max(len(a), len(b)))
     if abs(len(a) - len(b)) > most:
         return False
     n, m = len(a), len(b)
@@ -182,14 +186,19 @@ def nearly_same(a: list[str], b: list[str]) -> bool:
     return True
 
 
-def band_keys(anchors: str, content: str) -> list[int]:
-    """BANDS signed 64-bit keys: the anchors hashed with ROWS minwise values of the content words each."""
-    words = set(content.split())
-    base = xxhash.xxh64_intdigest(anchors)
+def band_keys(anchors: str, content: str, counts: dict[str, int]) -> list[int]:
+    """Signed 64-bit keys: the anchors hashed with each of the rarest words by `counts`, then by hash (no word: one key).
+
+    At most most_loose(length) words of a text may lack in one that is nearly the same (in a longer one too, since
+    most_loose grows slower than the length). So of that many words and one more, in an order that both texts share, the
+    first common word is among those of either: no pair is missed.
+    """
+    words = content.split()
+    rank = lambda w: (counts.get(w, 0), xxhash.xxh64_intdigest(w), w)
+    first = sorted(set(words), key=rank)[: most_loose(len(words)) + 1]
     out = []
-    for band in range(BANDS):
-        least = [min((xxhash.xxh64_intdigest(w, seed=band * ROWS + row) for w in words), default=0) for row in range(ROWS)]
-        h = xxhash.xxh64_intdigest(repr((base, band, least)))
+    for word in first or [""]:
+        h = xxhash.xxh64_intdigest(repr((anchors, word)))
         out.append(h - (1 << 64) if h >> 63 else h)
     return out
 
@@ -256,17 +265,19 @@ def content_keys(texts: DataFrame, speller: Speller) -> DataFrame:
     )
 
 
-def index_rows(classes: DataFrame) -> DataFrame:
-    """The index: (bucket INT, band_key BIGINT, first_call BIGINT, anchors STRING, content STRING), BANDS rows a class.
+def index_rows(classes: DataFrame, counts: dict[str, int] | None = None) -> DataFrame:
+    """The index: (bucket INT, band_key BIGINT, first_call BIGINT, anchors STRING, content STRING), a row for each band key of a class.
 
-    The content key stands for the signature: it is shorter, and verification needs the words themselves.
+    `counts` give the words' order, which must be the same for all rows of an index. The content key stands for the
+    signature: it is shorter, and verification needs the words themselves.
     """
+    shared = classes.sparkSession.sparkContext.broadcast(counts or {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, list, list, list] = ([], [], [], [])
             for call, anchors, content in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for key in dict.fromkeys(band_keys(anchors, content)):
+                for key in dict.fromkeys(band_keys(anchors, content, shared.value)):
                     for column, x in zip(out, (key, call, anchors, content)):
                         column.append(x)
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
@@ -338,7 +349,7 @@ def first_equals(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = marked.groupBy("anchors", "content").agg(F.min("first_call").alias("first_call"))
     # Classes that share their anchors with no other one have no near neighbour.
     shared = classes.groupBy("anchors").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("anchors")
-    index = materialize(index_rows(classes.join(shared, "anchors", "left_semi")), "bands")
+    index = materialize(index_rows(classes.join(shared, "anchors", "left_semi"), speller.counts), "bands")
     links = materialize(probe(index), "links")
     heads = marked.groupBy("anchors", "content").agg(F.min("first_call").alias("head"))
     texts = marked.join(heads, ["anchors", "content"]).select("key", "n", "head")

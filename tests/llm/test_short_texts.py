@@ -163,3 +163,17 @@ def test_chains_link_to_the_nearest_in_time(spark):
     index = history.index_rows(spark.createDataFrame(chain, "first_call long, anchors string, content string"))
     one_key = index.withColumn("band_key", index.band_key * 0)
     assert {tuple(r) for r in history.probe(one_key).collect()} == {(2, 1), (3, 2), (4, 2)}
+
+
+@pytest.mark.parametrize("counts", [{}, {"a": 9, "b": 5, "c": 5, "d": 1}])
+def test_probe_equals_brute_force(spark, counts):
+    rng = random.Random(6)
+    made = sorted({(rng.choice("xy"), " ".join(rng.choices("abcdefghijkl", k=rng.randint(0, 9)))) for _ in range(400)})
+    rows = [(i, *row) for i, row in enumerate(made)]
+    want = {}
+    for i, anchors, content in rows:
+        near = [j for j, a, c in rows[:i] if a == anchors and history.nearly_same(c.split(), content.split())]
+        if near:
+            want[i] = near[0]
+    index = history.index_rows(spark.createDataFrame(rows, "first_call long, anchors string, content string"), counts)
+    assert {r["first_call"]: r["target"] for r in history.probe(index).collect()} == want
