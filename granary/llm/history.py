@@ -9,7 +9,7 @@ many of them are taken that two texts that pass the verification always share a
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 import regex
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from granary.llm.canon import FIELD_END, FORM_LABELS, VALUE_START, _by_first, _label_starts, canonical
 from granary.llm.skew import attach
 from granary.llm.slips import shortened, slip_distance, slips_within
-from granary.session import materialize
+from granary.session import materialize, shared_path
 
 #: A word is frequent from this share of the different texts on; so their number is bounded by text length / share.
 FREQUENT_SHARE = 0.0002
@@ -29,6 +29,9 @@ FREQUENT_LEAST = 8
 LOOSE_WORDS = 2
 LOOSE_SHARE = 0.34
 BUCKETS = 64
+#: Runs that the batches of a whole table are put through the index in.
+GROUPS = 4
+INDEX = "band_key bigint, first_call bigint, anchors string, content string, bucket int"
 
 #: Courtesies, remarks and small words that don't change a question.
 FILLERS = frozenset(
@@ -288,90 +291,122 @@ def index_rows(classes: DataFrame, counts: dict[str, int] | None = None) -> Data
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Within each band key, in order of arrival: each class with the first earlier one that is nearly the same.
+    """Within each band key, in order of arrival: each class with the first earlier one that is nearly the same (or null),
+    and whether an equal class stands before it.
 
     Every class is compared with all earlier ones of its key and anchors, whether these have links or not.
     """
     at, earlier = None, {}
     for batch in batches:
-        calls, targets = [], []
+        calls, targets, known = [], [], []
         for key, call, anchors, content in zip(*(batch.column(i).to_pylist() for i in range(4))):
             if key != at:
                 at, earlier = key, {}
             words = content.split()
             group = earlier.setdefault(anchors, [])
             target = next((other for other, others in group if other != call and nearly_same(others, words)), None)
-            if target is not None:
+            equal = any(others == words for _, others in group)
+            if target is not None or equal:
                 calls.append(call)
                 targets.append(target)
-            group.append((call, words))
-        yield pa.RecordBatch.from_arrays([pa.array(calls, pa.int64()), pa.array(targets, pa.int64())], names=["first_call", "target"])
+                known.append(equal)
+            if not equal:
+                group.append((call, words))
+        yield pa.RecordBatch.from_arrays([pa.array(calls, pa.int64()), pa.array(targets, pa.int64()), pa.array(known, pa.bool_())], names=["first_call", "target", "known"])
 
 
-def probe(index: DataFrame, new: DataFrame | None = None) -> DataFrame:
-    """(first_call, target): classes of `new` (by default of the index itself) and the earliest class nearly the same.
-
-    The target is nearly the same itself, not by way of a third class. Only the band keys that occur in `new` are read
-    from the index.
-    """
+def linked(index: DataFrame, new: DataFrame | None = None) -> DataFrame:
+    """(first_call, target, known): as `probe`, and whether the index held the class already; target may be null then."""
     names = ["band_key", "first_call", "anchors", "content"]
     rows = index.select(*names)
     if new is not None:
         rows = rows.join(new.select("band_key").distinct(), "band_key", "left_semi").select(*names).unionByName(new.select(*names))
     links = (
-        rows.repartition("band_key").sortWithinPartitions("band_key", "first_call").mapInArrow(_links, "first_call bigint, target bigint")
-        .groupBy("first_call").agg(F.min("target").alias("target"))
+        rows.repartition("band_key").sortWithinPartitions("band_key", "first_call").mapInArrow(_links, "first_call bigint, target bigint, known boolean")
+        .groupBy("first_call").agg(F.min("target").alias("target"), F.max("known").alias("known"))
     )
     if new is None:
         return links
     return links.join(new.select("first_call").distinct(), "first_call", "left_semi")
 
 
+def probe(index: DataFrame, new: DataFrame | None = None) -> DataFrame:
+    """(first_call, target): classes of `new` (by default of the index itself) and the earliest class nearly the same.
+
+    The target is nearly the same itself, not by way of a third class. Only the band keys that occur in `new` are read
+    from the index.
+    """
+    return linked(index, new).filter("target is not null").select("first_call", "target")
+
+
 def append_index(index: DataFrame, path: str) -> None:
     """Add the keys of accepted records to a persisted index, partitioned by hash."""
-    index.write.mode("append").partitionBy("bucket").parquet(path)
+    index.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(path)
 
 
 def read_index(spark: SparkSession, path: str, new: DataFrame | None = None) -> DataFrame:
     """A persisted index; with `new`, only the partitions whose buckets occur in it."""
-    index = spark.read.parquet(path)
+    index = spark.read.schema(INDEX).parquet(path)
     if new is None:
         return index
     buckets = [row["bucket"] for row in new.select("bucket").distinct().collect()]
     return index.filter(F.col("bucket").isin(buckets))
 
 
-def first_equals(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(texts, links): each different text with the first call of its class, and the links between classes."""
+def start_history(keyed: DataFrame, path: str) -> None:
+    """A folder with an empty index and the speller, fitted on these calls; later batches are read with it as it is stored."""
     texts = materialize(different_texts(keyed), "texts")
-    speller = fit_speller(texts, texts.count())
-    marked = materialize(content_keys(texts, speller), "content")
-    classes = marked.groupBy("anchors", "content").agg(F.min("first_call").alias("first_call"))
-    # Classes that share their anchors with no other one have no near neighbour.
-    shared = classes.groupBy("anchors").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("anchors")
-    index = materialize(index_rows(classes.join(shared, "anchors", "left_semi"), speller.counts), "bands")
-    links = materialize(probe(index), "links")
-    heads = marked.groupBy("anchors", "content").agg(F.min("first_call").alias("head"))
-    texts = marked.join(heads, ["anchors", "content"]).select("key", "n", "head")
-    return texts, links
+    counts = fit_speller(texts, texts.count()).counts
+    spark = keyed.sparkSession
+    spark.createDataFrame([(w, n) for w, n in counts.items()], "word string, n bigint").coalesce(1).write.parquet(f"{path}/speller")
+    spark.createDataFrame([], INDEX).write.partitionBy("bucket").parquet(f"{path}/index")
+
+
+def stored_speller(spark: SparkSession, path: str) -> Speller:
+    return Speller({row["word"]: row["n"] for row in spark.read.schema("word string, n bigint").parquet(f"{path}/speller").collect()})
+
+
+def add_batches(keyed: DataFrame, path: str) -> DataFrame:
+    """(accepted_id BIGINT, call_id BIGINT) of one or more new batches, whose classes are then appended to the history in `path`.
+
+    `keyed` comes from `canonical_calls`. Only the index rows that share a band key with the new classes are compared; the calls of
+    earlier batches are not read. A batch that comes again gives the same rows and adds nothing.
+    """
+    speller = stored_speller(keyed.sparkSession, path)
+    marked = materialize(content_keys(different_texts(keyed), speller), "content")
+    heads = materialize(marked.groupBy("anchors", "content").agg(F.min("first_call").alias("first_call")), "classes")
+    fresh = materialize(index_rows(heads, speller.counts), "bands")
+    links = materialize(linked(read_index(keyed.sparkSession, f"{path}/index", fresh), fresh), "links")
+    accepted = heads.join(links, "first_call", "left").select("anchors", "content", F.coalesce("target", "first_call").alias("accepted_id"))
+    digest = F.unhex(F.md5("key")).alias("digest")
+    found = materialize(marked.join(accepted, ["anchors", "content"]).select(digest, "n", "accepted_id"), "targets")
+    total = found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # Ids rise with the batches, so what is smaller than the first id of a batch belongs to a smaller one.
+    starts = keyed.groupBy("batch_no").agg(F.min("call_id").alias("start"))
+    out = attach(keyed.select(digest, "call_id", "batch_no"), "digest", found, "n", total).join(starts, "batch_no").filter("accepted_id < start")
+    out = materialize(out.select("accepted_id", "call_id"), "repeats")
+    append_index(fresh.join(links.filter("known"), "first_call", "left_anti").select(*fresh.columns), f"{path}/index")
+    return out
 
 
 def find_repeats(calls: DataFrame, id_col: str = "call_id", text_col: str = "querytext", batch_col: str = "batch_no") -> DataFrame:
     """(accepted_id BIGINT, call_id BIGINT): calls that ask what a call of a smaller batch asked, and that call.
 
+    The batches go through a new history in GROUPS runs, smaller numbers first; the speller alone is fitted on all calls.
     Call ids rise with the batches, so the first call of a question is its smallest id and in its smallest batch. Null ids,
     batches and texts and texts without letter or digit give no row; repeats within a batch give none; extra columns are ignored.
     """
     keyed = materialize(canonical_calls(calls, id_col, text_col, batch_col), "calls")
-    texts, links = first_equals(keyed)
-    targets = texts.join(links.withColumnRenamed("first_call", "head"), "head", "left").select("key", "n", F.coalesce("target", "head").alias("accepted_id"))
-    digest = F.unhex(F.md5("key")).alias("digest")
-    found = materialize(targets.select(digest, "n", "accepted_id"), "targets")
-    total = found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    rows = keyed.select(digest, "call_id", "batch_no")
-    out = attach(rows, "digest", found, "n", total)
-    # Only the batch of the accepted call remains to be known: one row for each different accepted call.
-    firsts = keyed.join(found.select(F.col("accepted_id").alias("call_id")).distinct(), "call_id", "left_semi")
-    batches = materialize(firsts.groupBy("call_id").agg(F.min("batch_no").alias("accepted_batch")).withColumnRenamed("call_id", "accepted_id"), "batches")
-    sizes = found.groupBy("accepted_id").agg(F.sum("n").alias("size"))
-    return attach(out, "accepted_id", materialize(batches.join(sizes, "accepted_id"), "sized"), "size", total).filter("accepted_batch < batch_no").select("accepted_id", "call_id")
+    path = shared_path(keyed.sparkSession, "history")
+    start_history(keyed, path)
+    edges = sorted(set(keyed.approxQuantile("batch_no", [i / GROUPS for i in range(1, GROUPS)], 0.01)))
+    ranges = [(low, high) for low, high in zip([None, *edges], [*edges, None])]
+    runs = []
+    for low, high in ranges:
+        run = keyed
+        if low is not None:
+            run = run.filter(F.col("batch_no") > low)
+        if high is not None:
+            run = run.filter(F.col("batch_no") <= high)
+        runs.append(add_batches(run, path))
+    return reduce(DataFrame.unionByName, runs)

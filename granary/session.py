@@ -45,20 +45,25 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{own}"
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; what is written there is deleted when the process ends."""
+    path = f"{shared_dir(spark)}/granary-{label}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back.
 
     The lineage ends at the files, so a lost executor costs no recomputation upstream. Column names
     and types stay; the table is deleted when the process ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/granary-{label}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
+    path = shared_path(df.sparkSession, label)
     writer = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

@@ -177,3 +177,18 @@ def test_probe_equals_brute_force(spark, counts):
             want[i] = near[0]
     index = history.index_rows(spark.createDataFrame(rows, "first_call long, anchors string, content string"), counts)
     assert {r["first_call"]: r["target"] for r in history.probe(index).collect()} == want
+
+
+def test_batches_go_through_the_stored_history(spark, tmp_path):
+    path = str(tmp_path / "history")
+    rows = [(1, BASE, 1), (2, "dose of urea for maize", 1), (10, BASE + " urgent", 2), (11, "price of onion today", 2), (20, "at lotheeta how to control pod borer in paddy at harvest stage", 3), (21, "price of onion", 3), (22, "price onion", 3)]
+    filler = [(0, w, 0) for w in (BASE, "dose of urea for maize", "price of onion today")]
+    df = spark.createDataFrame([(i, t, b, None) for i, t, b in rows], "call_id long, querytext string, batch_no int, accepted_id string")
+    history.start_history(history.canonical_calls(spark.createDataFrame(filler * 9, "call_id long, querytext string, batch_no int"), "call_id", "querytext", "batch_no"), path)
+    keyed = lambda b: history.canonical_calls(df.filter(df.batch_no == b), "call_id", "querytext", "batch_no")
+    step = lambda b: {tuple(r) for r in history.add_batches(keyed(b), path).collect()}
+    assert step(1) == set() and step(2) == {(1, 10)}
+    size = history.read_index(spark, f"{path}/index").count()
+    assert step(2) == {(1, 10)} and history.read_index(spark, f"{path}/index").count() == size
+    assert step(3) == {(1, 20), (11, 21), (11, 22)}
+    assert {tuple(r) for r in history.find_repeats(df).collect()} == {(1, 10), (1, 20), (11, 21), (11, 22)}
