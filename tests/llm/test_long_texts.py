@@ -232,3 +232,17 @@ def test_stuffed_pages(spark):
     rows += [(1000, keywords * 12, "x"), (1001, sentence() + "\n" + "\n".join(["Tags: pump / zorix / offer", "Tags: drill / zorix / price"] * 15), "x"), (1002, sentence() * 6 + "\n" + keywords, "x"), (1003, table, "x"), (1004, None, "x"), (1005, "", "x"), (None, keywords, "x"), (1000, keywords, "x")]
     assert sorted(r["doc_id"] for r in stuffing.find_stuffed(documents(spark, rows)).collect()) == [1000, 1001]
     assert stuffing.find_stuffed(documents(spark, [])).count() == 0
+
+
+def test_stuffed_pages_are_not_the_rule(spark):
+    rng = np.random.default_rng(8)
+    subjects = "farmer officer grower tenant clerk council member keeper neighbour student".split()
+    things = "field pump seed store canal plot barn fence tool crop".split()
+    sentence = lambda: f"The {rng.choice(subjects)} checks the {rng.choice(things)} of the {rng.choice(subjects)} before the rain and in the {rng.choice(things)}."
+    rows = [(i, " ".join(sentence() for _ in range(int(rng.integers(9, 12)))), f"s{i % 90}") for i in range(200)]
+    copies = [(1000 + i, "buy zorix price near me | zorix dealer offer | cheap zorix price online | zorix near me discount, " * 8, f"s{i % 90}") for i in range(200)]
+    tags = "sale brand drill motor valve nozzle hose filter engine spare deal store".split()
+    site = [(2000 + i, " / ".join(rng.choice(tags, 4)) * 3 + " | " + " | ".join(" / ".join(rng.choice(tags, 4)) for _ in range(30)), "hot") for i in range(150)]
+    for stuffed in (copies, site):
+        df = spark.createDataFrame([(*r, "en") for r in rows + stuffed], "doc_id long, text string, site_id string, lang string")
+        assert sorted(r["doc_id"] for r in stuffing.find_stuffed(df).collect()) == [r[0] for r in stuffed]
