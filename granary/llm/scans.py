@@ -1,8 +1,8 @@
 """Problem 5: noise in text from scanned pages.
 
 The words of all pages give a lexicon; confusions of the scanner are learnt by aligning odd words with it; an averaged
-perceptron then predicts for each character of a word whether to keep, replace or delete it, and whether the mark at the
-end of a line joins it with the next one. Running headers and page numbers are told by their place on the page, their
+perceptron then predicts for each character of a word whether to keep or replace it, alone or with the next one. Whether
+the mark at the end of a line joins it with the next one is told by counts of words and compounds. Running headers and page numbers are told by their place on the page, their
 form, and their repetition over the pages of the book. The repair takes that noise out and puts the lines of each book
 together as paragraphs.
 """
