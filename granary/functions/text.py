@@ -15,6 +15,7 @@ SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x
 SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: Fixed value: what counts as a word character beside white space, slash, percent sign and hyphen.
 NOT_WORD = r"[^\p{L}\p{M}\p{Nd}\p{Pc}\s/%-]"
+#: A number, and an embedded image.
 NUMBER = r"\p{Nd}+(?:[.,]\p{Nd}+)?"
 IMAGE = r"!\[.*?\]\(data:image/[^;]+;base64,[^\)]+\)"
 #: Phrases that refer to a source text in a question.
@@ -40,14 +41,19 @@ def _mapped(function):
     return run
 
 
+def _normal(text: Column, form: str) -> Column:
+    """Only texts beyond ASCII travel to Python."""
+    return F.coalesce(F.pandas_udf(_composed(form), "string")(F.when(text.rlike(r"[^\x00-\x7f]"), text)), text)
+
+
 def nfc(text: Column) -> Column:
     """Canonical composition (an Arrow function; Spark has none built in)."""
-    return F.pandas_udf(_composed("NFC"), "string")(text)
+    return _normal(text, "NFC")
 
 
 def nfkc(text: Column) -> Column:
     """Compatibility composition."""
-    return F.pandas_udf(_composed("NFKC"), "string")(text)
+    return _normal(text, "NFKC")
 
 
 def strip(text: Column) -> Column:
@@ -61,9 +67,16 @@ def squeeze(text: Column) -> Column:
 
 def sentence_case(text: Column) -> Column:
     """Capitals at the start and behind a full stop, question or exclamation mark with blanks; only a to z change."""
-    parts = F.split(text, rf"(?<=[.!?]{SPACE}{{1,4}})(?=[a-z])")
-    raised = F.transform(parts, lambda p: F.when(p.rlike("^[a-z]"), F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 2**30))).otherwise(p))
-    return F.array_join(raised, "")
+    # Each piece but the first begins with a stop.
+    opening = rf"^[.!?]{SPACE}+[a-z]"
+
+    def raise_first(piece: Column) -> Column:
+        head = F.regexp_extract(piece, opening, 0)
+        return F.when(head != "", F.concat(F.upper(head), F.substring(piece, F.length(head) + 1, F.length(piece)))).otherwise(piece)
+
+    raised = F.transform(F.split(text, r"(?=[.!?])"), raise_first)
+    whole = F.array_join(raised, "")
+    return F.when(text.rlike("^[a-z]"), F.concat(F.upper(F.substring(text, 1, 1)), F.substring(whole, 2, 2**30))).otherwise(whole)
 
 
 def clean_text(text: Column, composed: bool = False) -> Column:
@@ -91,15 +104,19 @@ def escaped(literal: str) -> str:
 
 
 def strip_prefix(text: Column, prefixes: list[str]) -> Column:
-    """The longest listed prefix at the start removed once, with the blanks behind it."""
-    listed = sorted({p for p in prefixes if p}, key=lambda p: (-len(p), p))
-    if not listed:
+    """The longest listed prefix at the start removed once, with the blanks behind it.
+
+    One hash lookup for each different length of a prefix, however many there are of it.
+    """
+    by_length: dict[int, list[str]] = {}
+    for prefix in sorted({p for p in prefixes if p}):
+        by_length.setdefault(len(prefix), []).append(prefix)
+    if not by_length:
         return text
-    return F.regexp_replace(text, "^(?:" + "|".join(map(escaped, listed)) + r")\s*", "")
+    size = F.coalesce(*[F.when(F.substring(text, 1, n).isin(by_length[n]), F.lit(n)) for n in sorted(by_length, reverse=True)])
+    return F.when(size.isNotNull(), F.regexp_replace(F.substring(text, size + 1, F.length(text)), r"^\s+", "")).otherwise(text)
 
 
-#: Up to so many rules are folded by the JVM; more are looked up by the words of the text.
-FOLDED_RULES = 64
 _RUN = re.compile(r"\w+")
 
 
@@ -111,7 +128,8 @@ class TermReplacer:
     """
 
     def __init__(self, ordered: list[tuple[str, str]]) -> None:
-        self.rules = [(re.compile(rf"\b{re.escape(k)}\b"), v) for k, v in ordered]
+        self.rules = ordered
+        self.patterns: dict[int, re.Pattern] = {}
         self.by_word: dict[str, list[int]] = {}
         self.always: list[int] = []
         for i, (key, _) in enumerate(ordered):
@@ -123,7 +141,8 @@ class TermReplacer:
         while text is not None:
             near = sorted({i for w in set(_RUN.findall(text)) for i in self.by_word.get(w, ()) if i > done} | {i for i in self.always if i > done})
             for i in near:
-                pattern, value = self.rules[i]
+                key, value = self.rules[i]
+                pattern = self.patterns.get(i) or self.patterns.setdefault(i, re.compile(rf"\b{re.escape(key)}\b"))
                 changed, n = pattern.subn(lambda _, v=value: v, text)
                 done = i
                 if n and changed != text:
@@ -135,15 +154,13 @@ class TermReplacer:
 
 
 def replace_terms(text: Column, replacements: dict[str, str]) -> Column:
-    """Whole-word replacements one after another, the longest key first; each works on the result of the last."""
+    """Whole-word replacements one after another, the longest key first; each works on the result of the last.
+
+    An Arrow function at every number of rules: word boundaries are those of Unicode, which Java's are not, and a text meets
+    only the rules of its own words, which a fold over all of them could not give.
+    """
     ordered = sorted(replacements.items(), key=lambda kv: -len(kv[0]))
-    if not ordered:
-        return text
-    if len(ordered) > FOLDED_RULES:
-        replacer = TermReplacer(ordered)
-        return F.pandas_udf(_mapped(replacer), "string")(text)
-    rules = F.array(*[F.struct(F.lit(rf"\b{escaped(k)}\b").alias("p"), F.lit(v.replace("\\", "\\\\").replace("$", "\\$")).alias("r")) for k, v in ordered])
-    return F.reduce(rules, text, lambda so_far, rule: F.regexp_replace(so_far, rule["p"], rule["r"]))
+    return F.pandas_udf(_mapped(TermReplacer(ordered)), "string")(text) if ordered else text
 
 
 def numeric_anchors(text: Column) -> Column:

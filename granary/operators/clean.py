@@ -13,6 +13,9 @@ from granary.operators.ids import with_row_ids
 REQUIRED = ("blockname", "category", "createdon", "crop", "districtname", "kccans", "querytext", "querytype", "sector", "statename", "call_day", "call_month", "call_year")
 
 
+TEXTS = ("querytext", "kccans", "crop", "category", "sector", "querytype", "blockname", "districtname", "statename")
+
+
 def require(df: DataFrame, columns=REQUIRED) -> DataFrame:
     missing = sorted(set(columns) - set(df.columns))
     if missing:
@@ -21,9 +24,9 @@ def require(df: DataFrame, columns=REQUIRED) -> DataFrame:
 
 
 def clean_calls(calls: DataFrame, file: str = "file_name", row: str = "row_no") -> DataFrame:
-    """Every text column cleaned; (file, row) and the columns of a cleaned record."""
+    """Every text column composed and cleaned; (file, row) and the columns of a cleaned record."""
     text = lambda c: clean_text(c, composed=True)
-    composed = require(calls).withColumns({c: nfc(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in ("querytext", "kccans")})
+    composed = require(calls).withColumns({c: nfc(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in TEXTS})
     return composed.select(
         file, row, text(F.col("querytext")).alias("question"), text(F.col("kccans")).alias("answer"), text(F.col("crop")).alias("crop"),
         text(F.col("category")).alias("category"), text(F.col("sector")).alias("sector"), text(F.col("querytype")).alias("query_type"),
@@ -35,8 +38,9 @@ def clean_calls(calls: DataFrame, file: str = "file_name", row: str = "row_no")
 def clean_and_dedup(calls: DataFrame, file: str = "file_name", row: str = "row_no") -> DataFrame:
     """Cleaned records with an English answer, the first of each question in file and row order, numbered in that order.
 
-    Cleaning leaves the letters of an answer, so the language is judged first and only what stays is cleaned.
+    Of cleaning, only composition and lower case can change an answer's letters; so the language is judged behind these, and
+    the rest is done for what stays.
     """
-    english = clean_calls(require(calls).filter(is_english(F.col("kccans"))), file, row)
+    english = clean_calls(require(calls).filter(is_english(F.lower(nfc(F.col("kccans").cast("string"))))), file, row)
     first = keep_first(english, [F.col("question")], [file, row])
     return with_row_ids(first, [file, row])

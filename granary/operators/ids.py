@@ -11,15 +11,11 @@ from granary.session import materialize
 def with_row_ids(df: DataFrame, order: list[str | Column], name: str = "id", start: int = 1) -> DataFrame:
     """`df` with a running number in the given order, ties in any order.
 
-    The rows are sorted by range partitions and written; only the partitions' sizes go to the driver, so the number of
-    partitions bounds what it gets.
+    The rows are sorted by range partitions and written; a table of the partitions' sizes, one row for each, is broadcast.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id())
-    written = materialize(ranged, "ranged")
-    offset, at = F.lit(None).cast("long"), start - 1
-    for row in sorted(written.groupBy("__part").count().collect(), key=lambda r: r["__part"]):
-        offset = F.when(F.col("__part") == row["__part"], F.lit(at)).otherwise(offset)
-        at += row["count"]
+    written = materialize(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranged")
+    sizes = written.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n") + (start - 1)).alias("__before"))
     within = Window.partitionBy("__part").orderBy(*order)
-    return written.withColumn(name, F.row_number().over(within) + offset).drop("__part")
+    return written.withColumn(name, F.row_number().over(within)).join(F.broadcast(before), "__part").withColumn(name, F.col(name) + F.col("__before")).drop("__part", "__before")

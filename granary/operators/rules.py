@@ -49,11 +49,9 @@ def merged_replacements(extractions: DataFrame, order: str = "response_id") -> D
     return bare.groupBy("key").agg(F.max(F.struct(order, "value"))["value"].alias("value"))
 
 
-def rule_config(extractions: DataFrame, most: int = 5000) -> RuleConfig:
-    """A configuration of all merged rules; refused beyond `most` rules, which no expression could hold."""
-    prefixes = [r["prefix"] for r in merged_prefixes(extractions).limit(most + 1).collect()]
-    replacements = {r["key"]: r["value"] for r in merged_replacements(extractions).limit(most + 1).collect()}
-    if len(prefixes) > most or len(replacements) > most:
-        raise ValueError(f"more than {most} rules")
+def rule_config(extractions: DataFrame) -> RuleConfig:
+    """A configuration of all merged rules, which the driver holds: it grows with the different rules, not with the replies."""
+    prefixes = [r["prefix"] for r in merged_prefixes(extractions).collect()]
+    replacements = {r["key"]: r["value"] for r in merged_replacements(extractions).collect()}
     ordered = sorted(replacements.items(), key=lambda kv: (-len(kv[0]), kv[0]))
     return RuleConfig(tuple(sorted(prefixes, key=lambda p: (-len(p), p))), dict(ordered))

@@ -1,6 +1,7 @@
 """Operators on small tables with the awkward rows in them."""
 
 import random
+import unicodedata
 
 from pyspark.sql import functions as F
 
@@ -28,6 +29,17 @@ def test_clean_and_dedup_keeps_the_first(spark):
     assert got == [(1, "a", ""), (2, "a", "Same q?")]
 
 
+def test_cleaning_composes_every_column_before_the_language_is_judged(spark):
+    apart = lambda t: unicodedata.normalize("NFD", t)
+    rows = [("a", 1, "one", apart("éèêëàâüö ok"), apart("Maïs")), ("a", 2, "two", "plain words", apart("Maïs"))]
+    df = spark.createDataFrame(rows, "file_name string, row_no long, querytext string, kccans string, crop string")
+    for c in clean.REQUIRED:
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(apart("Bénin")))
+    got = clean.clean_and_dedup(df).collect()
+    assert [(r["row_no"], r["crop"], r["district"], r["state"], r["block"]) for r in got] == [(2, "Maïs", "Bénin", "Bénin", "Bénin")]
+
+
 def test_pairs_and_summary(spark):
     rows = [("f", 1, "q", "a"), ("f", 2, "q", "a"), ("f", 3, None, "a"), ("f", 4, None, "a"), ("f", 5, "q", "b")]
     df = spark.createDataFrame(rows, "f string, n int, q string, a string")

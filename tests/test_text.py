@@ -104,3 +104,30 @@ def test_native_functions_need_no_python(spark):
     df = spark.createDataFrame([("a",)], "v string").select(text.clean_text(F.col("v"), composed=True), text.is_english(F.col("v")), text.clean_punctuation(F.col("v")))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(ALPHABET, min_size=40, max_size=40))
+def test_sentence_case_equals_model(spark, values):
+    values = [*values, None, "", "one.      two. three", "a", ".a", ". a?  b.c"]
+    model = lambda v: v and re.sub(r"(?:^|[.!?]\s+)([a-z])", lambda m: m[0].upper(), v)
+    assert [r[0] for r in apply(spark, values, text.sentence_case(F.col("v")))] == [model(v) for v in values]
+
+
+def test_many_rules_equal_the_fold(spark):
+    rules = {f"w{i}": f"w{i + 1}" if i % 3 else f"v {i}" for i in range(10_000)} | {"v 3": "three", "two words": "w5", "é": "e"}
+    texts = ["w3 w4, w9999!", "two words w10x", None, "", "é é́ w1"]
+    ordered = sorted(rules.items(), key=lambda kv: -len(kv[0]))
+
+    def fold(value):
+        for k, v in ordered:
+            value = re.sub(rf"\b{re.escape(k)}\b", lambda _, v=v: v, value)
+        return value
+
+    got = [r[0] for r in apply(spark, texts, text.replace_terms(F.col("v"), rules))]
+    assert got == [t if t is None else fold(t) for t in texts]
+
+
+def test_many_prefixes(spark):
+    listed = [f"p{i} " for i in range(10_000)] + ["p77 p7 ", "sir"]
+    assert [r[0] for r in apply(spark, ["p77 p7  x", "p9999 y", "p10000 z", None, "sir"], text.strip_prefix(F.col("v"), listed))] == ["x", "y", "p10000 z", None, ""]
