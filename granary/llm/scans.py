@@ -1,15 +1,16 @@
 """Problem 5: noise in text from scanned pages.
 
 The words of all pages give a lexicon; confusions of the scanner are learnt by aligning odd words with it; an averaged
-perceptron then predicts for each character of a word whether to keep or replace it, alone or with the next one. Whether
-the mark at the end of a line joins it with the next one is told by counts of words and compounds. Running headers and page numbers are told by their place on the page, their
-form, and their repetition over the pages of the book. The repair takes that noise out and puts the lines of each book
+perceptron then predicts for each character of a word whether to keep, replace or delete it or to insert one before it, and
+for each mark at the end of a line whether it joins the line with the next one. Running headers and page numbers are told by
+their place on the page, their form, and their repetition over the pages of the book. The repair takes that noise out and puts the lines of each book
 together as paragraphs.
 """
 
 from __future__ import annotations
 
 import random
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -33,10 +34,16 @@ LEXICON_SHARE = 1e-6
 ODD_SAMPLE = 8_000
 #: A confusion counts if it makes up this share of the aligned changes.
 CONFUSION_SHARE = 0.002
+#: A letter that is only lost or added counts from this share on.
+GAP_SHARE = 0.02
 #: A lexicon word is a misreading of another one that is so many times as frequent and that the editor turns it into.
 MISREAD_TIMES = 15
 EPOCHS = 3
-BEAM = 48
+#: The perceptron also learns from the commonest words, clean and spoilt, and from so many compounds and divided words.
+CLEAN_SAMPLE = 4_000
+JOIN_SAMPLE = 4_000
+#: Tokens that a task remembers as clean before it forgets them.
+REMEMBERED = 1_000_000
 #: Lines from the top and bottom of a page that may be furniture.
 EDGE_LINES = 2
 #: A short line repeated so often at the pages' edges of a book is one of its titles.
@@ -61,6 +68,9 @@ PAGE_NUMBER = regex.compile(
 HAS_FIGURE = regex.compile(r"\p{Nd}|^[\W_]*[ivxlcdmIVXLCDM]+[\W_]*$|^[\W_]*(?:page|pg|p)?[\W_]*[lOoI]{1,3}[\W_]*(?:/|$)", regex.IGNORECASE)
 CHAPTER_HEADING = regex.compile(r"\s*\p{L}\S{4,7}\s+\S{1,4}\s*:\s*(\S.*)")
 RUNNING_PARTS = regex.compile(r"^[\W\p{Nd}]*(?:\b(?:chapter|ch|part|section)\b[\W\p{Nd}]*)?|[\W\p{Nd}]+$", regex.IGNORECASE)
+LETTERS = regex.compile(r"[^\W_]+")
+ITEM = regex.compile(r"[-•*]\s*\p{Nd}")
+DECIMAL = regex.compile(r"\p{Nd}+\.\p{Nd}+")
 TITLE_WORD = regex.compile(r"\p{L}\S{3,}|\S\p{L}{3,}")
 #: Lines that stay lines of their own: table rows, rules, list items.
 ROW = regex.compile(r"\s*(?:\|.*|.*\|.*\|.*|[-=_+|\s]{3,}|.*\S\s{2,}\S.*\s{2,}[\p{Nd}.,%]+\s*|(?:[-•*]|\(?[\p{Nd}]{1,3}[.)])\s+\S.*)")
@@ -83,16 +93,23 @@ def lower_core(token: str) -> tuple[str, bool]:
 
 
 class Editor:
-    """An averaged perceptron over the characters of a word; labels are K (keep), D (delete) and R:x (replace by x)."""
+    """An averaged perceptron over the characters of a word, with labels K (keep), D (delete), R:x (replace by x, alone or with
+    the next character) and I:x (insert x before it); and over the ends of lines, with labels J (join) and K.
 
-    def __init__(self, lexicon: dict[str, int], compounds: dict[str, int], weights: dict[str, dict[str, float]], options: dict[str, list[tuple[str, str]]]) -> None:
-        self.lexicon, self.compounds, self.weights, self.options = lexicon, compounds, weights, options
+    `options` has the changes (read, true) that may be tried where a text is read; a read of '' is an insertion, a true text
+    of '' a deletion.
+    """
+
+    def __init__(self, lexicon: dict[str, int], compounds: dict[str, int], weights: dict[str, dict[str, float]], options: dict[str, list[tuple[str, str]]], ends: dict[str, float] | None = None) -> None:
+        self.lexicon, self.compounds, self.weights, self.options, self.ends = lexicon, compounds, weights, options, ends
+        self.words = sorted(lexicon)
         self.signs = {a for a in options if len(a) == 1 and not a.isalpha()} | {c for a in options if len(a) > 1 for c in a if not c.isalnum()}
         self.read = lru_cache(200_000)(self._read)
         self.misread = lru_cache(300_000)(self._misread)
+        self.clean: set[str] = set()
 
     def __reduce__(self):
-        return Editor, (self.lexicon, self.compounds, self.weights, self.options)
+        return Editor, (self.lexicon, self.compounds, self.weights, self.options, self.ends)
 
     @staticmethod
     def features(word: str, i: int) -> list[str]:
@@ -103,26 +120,40 @@ class Editor:
         return sum(w.get(label, 0.0) for f in features if (w := self.weights.get(f)))
 
     def candidates(self, word: str) -> list[tuple[float, str, tuple[int, ...]]]:
-        """Readings of a word by falling score: (score against keeping all, reading, places changed)."""
-        beam: list[tuple[float, str, tuple[int, ...], int]] = [(0.0, "", (), 0)]
-        done: list[tuple[float, str, tuple[int, ...]]] = []
-        feats = [self.features(word, i) for i in range(len(word))]
-        keep = [self.score(f, "K") for f in feats]
-        while beam:
-            grown: list[tuple[float, str, tuple[int, ...], int]] = []
-            for total, text, places, i in beam:
-                if i == len(word):
-                    done.append((total, text, places))
-                    continue
-                grown.append((total, text + word[i], places, i + 1))
-                for size in (2, 1):
-                    for a, b in self.options.get(word[i : i + size], ()) if i + size <= len(word) else ():
-                        change = self.score(feats[i], f"R:{b}") - keep[i]
-                        if size == 2:
-                            change += self.score(feats[i + 1], "D") - keep[i + 1]
-                        grown.append((total + change, text + b, (*places, i), i + size))
-            beam = sorted(grown, key=lambda x: -x[0])[:BEAM]
-        return sorted(done, key=lambda x: -x[0])
+        """All readings of a word that the lexicon has, by falling score: (score against keeping all, reading, places changed).
+
+        A walk over the changes that only goes on where some word of the lexicon begins like that. A letter that is only
+        lost or added makes another word more often than a misreading, so such a reading must score better than the word kept.
+        """
+        words, size = self.words, len(word)
+        done: dict[str, tuple[float, tuple[int, ...]]] = {}
+        feats: dict[int, list[str]] = {}
+        inserts = self.options.get("", ())
+
+        def gain(i: int, label: str) -> float:
+            if i not in feats:
+                feats[i] = self.features(word, i)
+            return self.score(feats[i], label) - self.score(feats[i], "K")
+
+        stack: list[tuple[int, str, float, tuple[int, ...], bool]] = [(0, "", 0.0, (), False)]
+        while stack:
+            i, text, total, places, gap = stack.pop()
+            at = bisect_left(words, text)
+            if at == len(words) or not words[at].startswith(text):
+                continue
+            if i == size:
+                if places and words[at] == text and not (gap and total <= 0) and (text not in done or total > done[text][0]):
+                    done[text] = (total, places)
+                continue
+            stack.append((i + 1, text + word[i], total, places, gap))
+            for n in (2, 1):
+                for _, b in self.options.get(word[i : i + n], ()) if i + n <= size else ():
+                    change = gain(i, f"R:{b}" if b else "D") + (gain(i + 1, "D") if n == 2 else 0.0)
+                    stack.append((i + n, text + b, total + change, (*places, i), gap or not b))
+            if not places or places[-1] != i:  # one insertion at a place
+                for _, b in inserts:
+                    stack.append((i, text + b, total + gain(i, f"I:{b}"), (*places, i), True))
+        return sorted(((total, text, places) for text, (total, places) in done.items()), key=lambda x: (-x[0], x[1]))
 
     def _read(self, word: str) -> tuple[str, tuple[int, ...]] | None:
         """The lexicon word or number that a token not in the lexicon is a misreading of, with the places changed."""
@@ -136,11 +167,10 @@ class Editor:
             figure = "".join(DIGIT_LIKE.get(ch, ch) for ch in word)
             if NUMBER.match(figure) and not (len(places) >= len(word) - 1 and len(word) > 3):
                 return figure, places
-        if len(lower) < 3 or len(lower) > 40:
+        if len(lower) < 3:
             return None
         for _, text, places in self.candidates(lower):
-            if places and text in self.lexicon:
-                return text, places
+            return text, places
         plain = lower.replace("\\/", "v")  # a w may be read as v\/, which takes two changes at one place
         if plain != lower and ("\\/", "v") in self.options.get("\\/", ()) and (plain in self.lexicon or (further := self.read(plain))):
             return (plain, (lower.index("\\/"),)) if plain in self.lexicon else further
@@ -186,6 +216,32 @@ class Editor:
         start = at.end() if at else 0
         return token[:start] + mended + token[start + len(word) :]
 
+    def spoilt(self, tokens: list[str]) -> bool:
+        """Whether one of the tokens is misread; clean ones are remembered."""
+        new = set(tokens) - self.clean
+        if not new:
+            return False
+        bad = {t for t in new if self.misread(t)}
+        if len(self.clean) > REMEMBERED:
+            self.clean.clear()
+        self.clean |= new - bad
+        return bool(bad)
+
+    def end_features(self, head: str, mark: str, tail: str, after: str, known: bool = True) -> list[str]:
+        """What the end of a line shows: its mark, and whether word, compound, halves and compound with the word behind are known.
+
+        Without `known` the counts of whole and compound are left out, as for words that are not in the lexicon.
+        """
+        plain = mark == "-"
+        whole, compound = (self.lexicon.get(head + tail, 0), self.compounds.get(f"{head}-{tail}", 0)) if known else (0, 0)
+        if whole or compound:
+            seen = f"{bool(whole)}{bool(compound)}{whole >= compound}"
+            follows = "" if not after else str(f"{head}-{tail} {after}" in self.compounds)
+            return [f"m{plain}", f"s{seen}", f"sm{seen}{plain}", f"sf{seen}{plain}{follows}"]
+        read = bool(self.read(head + tail)) if known else False
+        halves = all(p in self.lexicon or bool(self.read(p)) for p in (head, tail))
+        return [f"m{plain}", f"r{read}", f"h{halves}{plain}", f"rh{read}{halves}{plain}"]
+
     def joins(self, left: str, mark: str, right: str, after: str = "") -> bool:
         """Whether the mark at a line's end divides a word (and isn't a part of it); `after` is the word behind."""
         a, b = core(left).lower(), core(right).lower()
@@ -193,60 +249,66 @@ class Editor:
         if not a or not b or not right[:1].isalpha() and not self.read(a + b):
             return False
         head = a.rsplit("-", 1)[-1]
-        whole, compound = self.lexicon.get(head + b, 0), self.compounds.get(f"{head}-{b}", 0)
-        if whole and compound:
-            if mark != "-":
-                return True
-            return f"{head}-{b} {core(after).lower()}" not in self.compounds if after else whole >= compound
-        if whole or compound:
-            return bool(whole)
-        if self.read(head + b):
-            return True
-        if mark != "-":
-            return True
-        both = [p in self.lexicon or bool(self.read(p)) for p in (head, b)]
-        return not all(both)
+        return sum(self.ends.get(f, 0.0) for f in self.end_features(head, mark, b, core(after).lower())) > 0
 
 
 def _align(noisy: str, clean: str) -> list[tuple[int, str, str]] | None:
-    """The changes between two words as (place, read, true); None if letters are only added or lost."""
+    """The changes between two words as (place, read, true), of which one may be ''; None if they are too far apart."""
     out = []
     for tag, a, b, c, d in SequenceMatcher(None, noisy, clean, autojunk=False).get_opcodes():
         if tag == "equal":
             continue
-        if tag != "replace" or b - a > 2 or d - c > 2:
+        if b - a > 2 or d - c > 2 or (tag != "replace" and (b - a) + (d - c) > 1):
             return None
         if b - a == d - c == 2:
             out += [(a, noisy[a], clean[c]), (a + 1, noisy[a + 1], clean[c + 1])]
+        elif tag == "insert" and a == len(noisy):
+            return None  # a letter lost at the end is another form of the word
         else:
             out.append((a, noisy[a:b], clean[c:d]))
     return out
 
 
+def _nearest(odd: list[str], lexicon: dict[str, int]) -> Iterator[tuple[str, str, list[tuple[int, str, str]]]]:
+    """(odd word, lexicon word, changes) of the odd words that are near one; of several, by the fewest changes, then the commonest.
+
+    The index is of the odd words, which are a bounded sample; the lexicon is gone through once.
+    """
+    index: dict[str, list[str]] = defaultdict(list)
+    for word in odd:
+        for short in shortened(word, 2):
+            index[short].append(word)
+    best: dict[str, tuple] = {}
+    for clean, n in lexicon.items():
+        if not 4 <= len(clean) <= 16:
+            continue
+        for word in {w for short in shortened(clean, 2) for w in index.get(short, ())}:
+            if slips_within(word, clean, 2) and (ops := _align(word, clean)):
+                rank = (any(not x or not y for _, x, y in ops), len(ops), -n, clean)
+                if word not in best or rank < best[word][0]:
+                    best[word] = (rank, clean, ops)
+    for word in odd:
+        if word in best:
+            yield word, best[word][1], best[word][2]
+
+
 def train_editor(counts: dict[str, int], compounds: dict[str, int], odd: list[str], seed: int = 11) -> Editor:
     """Confusions from odd words near one lexicon word, then the perceptron on those and on words spoilt likewise."""
     lexicon = {w: n for w, n in counts.items() if WORD.match(w)}
-    index: dict[str, list[str]] = defaultdict(list)
-    for word in lexicon:
-        if len(word) >= 4:
-            for short in shortened(word, 2) if len(word) <= 16 else {word}:
-                index[short].append(word)
     pairs: list[tuple[str, str, list[tuple[int, str, str]]]] = []
     changes: Counter[tuple[str, str]] = Counter()
-    for word in odd:
-        if not 4 <= len(word) <= 16 or NUMBER.match(word) or word in lexicon or word in compounds:
-            continue
-        near = {w for short in shortened(word, 2) for w in index.get(short, ()) if slips_within(word, w, 2)}
-        found = [(len(x), -lexicon[w], w, x) for w in near if (x := _align(word, w))]
-        if found:
-            _, _, clean, ops = min(found, key=lambda t: t[:3])
-            pairs.append((word, clean, ops))
-            changes.update({(a, b) for _, a, b in ops})
+    gaps: Counter[tuple[str, str]] = Counter()
+    odd = [w for w in odd if 4 <= len(w) <= 16 and not NUMBER.match(w) and w not in lexicon and w not in compounds]
+    for word, clean, ops in _nearest(odd, lexicon):
+        pairs.append((word, clean, ops))
+        lacking = any(not a or not b for _, a, b in ops)
+        (gaps if lacking else changes).update({(a, b) for _, a, b in ops})
     total = sum(changes.values())
     # One letter for one other letter is more often another word than a misreading, so it needs ten times the share.
     letter = lambda k: len(k[0]) == len(k[1]) == 1 and k[0].isalpha()
     good = {k for k, n in changes.items() if n >= max(3, CONFUSION_SHARE * total * (10 if letter(k) else 1))}
     good |= KNOWN_CONFUSIONS
+    good |= {k for k, n in gaps.items() if (not k[0] or not k[1]) and n >= max(3, GAP_SHARE * (total + sum(gaps.values())))}
     single = defaultdict(list)
     for a, b in good:
         if len(a) == len(b) == 1:
@@ -260,7 +322,7 @@ def train_editor(counts: dict[str, int], compounds: dict[str, int], odd: list[st
     def labels(noisy: str, ops: list[tuple[int, str, str]]) -> list[str]:
         out = ["K"] * len(noisy)
         for at, a, b in ops:
-            out[at] = f"R:{b}"
+            out[at] = f"I:{b}" if not a else f"R:{b}" if b else "D"
             if len(a) == 2:
                 out[at + 1] = "D"
         return out
@@ -270,16 +332,26 @@ def train_editor(counts: dict[str, int], compounds: dict[str, int], odd: list[st
     by_true: dict[str, list[str]] = defaultdict(list)
     for a, b in sorted(good):
         by_true[b].append(a)
-    words = sorted(lexicon, key=lambda w: -lexicon[w])[:4000]
+    words = sorted(lexicon, key=lambda w: (-lexicon[w], w))[:CLEAN_SAMPLE]
     for word in words:
         examples.append((word, ["K"] * len(word)))
         for _ in range(2):
             noisy, tags, i = "", [], 0
             while i < len(word):
+                if "" in by_true and rng.random() < 0.05:  # a letter that isn't there
+                    noisy += rng.choice(by_true[""])
+                    tags.append("D")
                 for size in (2, 1):
                     part = word[i : i + size]
                     if len(part) == size and part in by_true and rng.random() < 0.3:
                         a = rng.choice(by_true[part])
+                        if not a and i + 1 == len(word):
+                            continue
+                        if not a:  # a lost letter is to be inserted before the next one
+                            noisy += word[i + 1]
+                            tags.append(f"I:{part}")
+                            i += 2
+                            break
                         noisy += a
                         tags += [f"R:{part}"] + ["D"] * (len(a) - 1)
                         i += size
@@ -293,15 +365,16 @@ def train_editor(counts: dict[str, int], compounds: dict[str, int], odd: list[st
     sums: dict[tuple[str, str], float] = defaultdict(float)
     step = 0
     reachable: dict[str, list[str]] = defaultdict(lambda: ["K"])
+    inserted = sorted({f"I:{b}" for a, b in good if not a})
     for a, b in sorted(good):
-        for ch, label in ((a[0], f"R:{b}"), *(((a[1], "D"),) if len(a) == 2 else ())):
+        for ch, label in () if not a else ((a[0], f"R:{b}" if b else "D"), *(((a[1], "D"),) if len(a) == 2 else ())):
             if label not in reachable[ch]:
                 reachable[ch].append(label)
     for _ in range(EPOCHS):
         rng.shuffle(examples)
         for noisy, tags in examples:
             for i, true in enumerate(tags):
-                choices = reachable[noisy[i]] if noisy[i] in reachable else ["K"]
+                choices = (reachable[noisy[i]] if noisy[i] in reachable else ["K"]) + inserted
                 if len(choices) == 1:
                     continue
                 step += 1
@@ -320,15 +393,69 @@ def train_editor(counts: dict[str, int], compounds: dict[str, int], odd: list[st
     clean = dict(lexicon)
     for word, n in lexicon.items():
         if len(word) >= 3:
-            best = max((lexicon[t] for _, t, places in editor.candidates(word) if places and t in lexicon), default=0)
+            best = max((lexicon[t] for _, t, _ in editor.candidates(word)), default=0)
             if best >= MISREAD_TIMES * n:
                 del clean[word]
-    return Editor(clean, compounds, averaged, dict(options))
+    editor = Editor(clean, compounds, averaged, dict(options))
+    editor.ends = train_ends(editor, rng)
+    return editor
+
+
+def train_ends(editor: Editor, rng: random.Random) -> dict[str, float]:
+    """Averaged weights for joining line ends, learnt from compounds that stand within lines (not joined, where their hyphen is
+    to end the line; joined, where they are also written as one and nothing known follows) and from words divided at a place of chance (joined); a third of either also as if they were unknown."""
+    behind: dict[str, list[str]] = defaultdict(list)
+    for entry in editor.compounds:
+        if " " in entry:
+            word, _, after = entry.partition(" ")
+            behind[word].append(after)
+    examples: list[tuple[list[str], int]] = []
+
+    def add(head: str, mark: str, tail: str, after: str, joined: int) -> None:
+        examples.append((editor.end_features(head, mark, tail, after), joined))
+        if rng.random() < 0.33:
+            examples.append((editor.end_features(head, mark, tail, after, False), joined))
+
+    single = sorted((w for w in editor.compounds if " " not in w), key=lambda w: (-editor.compounds[w], w))[:JOIN_SAMPLE]
+    for word in single:
+        head, _, tail = word.rpartition("-")
+        head = head.rsplit("-", 1)[-1]
+        for after in [*sorted(behind[word])[:3], ""]:
+            # Of a word that is written both ways, a compound with nothing known behind it tells nothing.
+            if after or not editor.lexicon.get(head + tail) or editor.compounds[word] > editor.lexicon[head + tail]:
+                add(head, "-", tail, after, -1)
+        if editor.lexicon.get(head + tail):
+            for _ in range(1 + len(behind[word][:3])):
+                add(head, "-", tail, "zz", 1)
+    for word in [w for w in sorted(editor.lexicon, key=lambda w: (-editor.lexicon[w], w)) if len(w) >= 4][:JOIN_SAMPLE]:
+        cuts = [i for i in range(2, len(word) - 1)]
+        for mark in ("-", "¬"):
+            at = rng.choice(cuts)
+            add(word[:at], mark, word[at:], "zz", 1)
+        spoilt, at = word, rng.choice(cuts)
+        for a, b in rng.sample([(a, b) for a in sorted(editor.options) for _, b in editor.options[a] if b and b in word], 1) if any(b and b in word for a in editor.options for _, b in editor.options[a]) else ():
+            spoilt = word.replace(b, a, 1)
+        if spoilt != word and editor.read(spoilt):
+            examples.append((editor.end_features(spoilt[:at], "-", spoilt[at:], ""), 1))
+    for word in [w for w in sorted(editor.lexicon, key=lambda w: (-editor.lexicon[w], w)) if len(w) >= 4][:JOIN_SAMPLE // 4]:  # both halves are words, and it's nowhere written
+        examples.append((editor.end_features(word, "-", rng.choice(editor.words), "", False), -1))
+    weights: dict[str, float] = defaultdict(float)
+    sums: dict[str, float] = defaultdict(float)
+    step = 0
+    for _ in range(EPOCHS):
+        rng.shuffle(examples)
+        for feats, true in examples:
+            step += 1
+            if true * sum(weights[f] for f in feats) <= 0:
+                for f in feats:
+                    weights[f] += true
+                    sums[f] += true * step
+    return {f: w - sums[f] / max(1, step) for f, w in weights.items()}
 
 
 def title_key(line: str) -> str:
     """The letters of a line without numbers, chapter word and marks at its ends."""
-    return " ".join(regex.findall(r"[^\W_]+", RUNNING_PARTS.sub("", line).casefold()))
+    return " ".join(LETTERS.findall(RUNNING_PARTS.sub("", line).casefold()))
 
 
 def is_page_number(line: str) -> bool:
@@ -339,14 +466,20 @@ def is_page_number(line: str) -> bool:
 def may_be_title(line: str) -> bool:
     """A short line without a full stop whose longer words begin with capitals; no table or list row, no heading."""
     bare = line.strip()
-    if not 4 <= len(bare) <= 70 or "|" in bare or bare[-1] in ".,;:-" or CHAPTER_HEADING.fullmatch(bare) or regex.match(r"[-•*]\s*\p{Nd}", bare):
+    if not 4 <= len(bare) <= 70 or "|" in bare or bare[-1] in ".,;:-" or CHAPTER_HEADING.fullmatch(bare) or ITEM.match(bare):
         return False
-    if len(regex.findall(r"\p{Nd}+\.\p{Nd}+", bare)) >= 2:
+    if len(DECIMAL.findall(bare)) >= 2:
         return False
     words = TITLE_WORD.findall(bare)
     return bool(words) and sum(not w[0].islower() for w in words) >= 0.5 * len(words)
 
 
+def line_break(line: str):
+    """The match of a word and a division mark at the end of a line."""
+    bare = line.rstrip(" \t\u00a0")
+    return LINE_BREAK.search(line) if bare and bare[-1] in HYPHEN else None
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[str] = Counter()
 
@@ -354,19 +487,25 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
     for batch in batches:
+        raw: Counter[str] = Counter()
         for text in batch.column(0).to_pylist():
             carried = False
             for line in text.split("\n"):
                 tokens = line.split()
                 if not tokens:
                     continue
-                broken = bool(LINE_BREAK.search(line))
-                inner = tokens[int(carried) : len(tokens) - broken]
+                broken = line_break(line) is not None
+                inner = tokens[int(carried) : len(tokens) - broken] if carried or broken else tokens
                 carried = broken
-                words = [lower_core(t) for t in inner]
-                counts.update([w for w, _ in words if len(w) > 1])
-                # What follows a compound tells it from the same word written as one.
-                counts.update([f"{w} {after[0]}" for (w, compound), after in zip(words, words[1:]) if compound and after[0]])
+                raw.update(inner)
+                if "-" in line:  # what follows a compound tells it from the same word written as one
+                    for token, after in zip(inner, inner[1:]):
+                        if "-" in token and (word := lower_core(token))[1] and (following := lower_core(after)[0]):
+                            counts[f"{word[0]} {following}"] += 1
+        for token, n in raw.items():
+            word = lower_core(token)[0]
+            if len(word) > 1:
+                counts[word] += n
         if len(counts) > 200_000:
             yield flush()
             counts.clear()
@@ -421,10 +560,10 @@ def _page_rows(block: int, book: str | None, page: int | None, text: str, editor
     body = [i for i in full if i not in numbers]
     for at, i in enumerate(body):
         tokens = lines[i].split()
-        found = LINE_BREAK.search(lines[i])
+        found = line_break(lines[i])
         inner = tokens[int(carried) : len(tokens) - bool(found)]
         carried = False
-        if any(editor.misread(t) for t in inner):
+        if editor.spoilt(inner):
             yield ("misread", block, book, page, i + 1, None, None, None, None, None)
         if not found:
             continue
@@ -492,8 +631,13 @@ def running_headers(rows: DataFrame) -> DataFrame:
     grams = F.expr(f"array_distinct(transform({starts}, i -> substring(squeezed, i, 4)))")
     squeezed = lambda df: df.withColumn("squeezed", F.regexp_replace("key", " ", "")).withColumn("pieces", grams)
     pieces = lambda df, name: squeezed(df).select("book", F.col("key").alias(name), F.explode("pieces").alias("piece"))
+    # Two slips of neighbours swapped are four letters by Spark's distance, which leaves few pairs to the exact test.
+    bare = lambda c: F.regexp_replace(c, " ", "")
+    most = F.greatest(F.lit(2), F.floor(F.length(bare("title")) / 6)).cast("int") * 2
+    close = lambda t: F.levenshtein(bare("key"), t) <= most
     near = (
-        pieces(counted, "key").join(pieces(known, "title"), ["book", "piece"]).select("book", "key", "title").distinct()
+        pieces(counted.join(known, ["book", "key"], "left_anti"), "key").join(pieces(known, "title"), ["book", "piece"]).select("book", "key", "title").distinct()
+        .filter(close(bare("title")) | close(F.concat(F.lit("chapter"), bare("title"))))
         .filter(F.pandas_udf(_near_title, "boolean")("key", "title")).select("book", "key")
     )
     sure = near.unionByName(known).distinct()
@@ -576,7 +720,7 @@ def page_fragments(text: str, gone: set[int], divided: set[int]) -> list[tuple[s
             kind = "row"
         else:
             kind = "prose"
-        found = LINE_BREAK.search(line) if kind == "prose" else None
+        found = line_break(line) if kind == "prose" else None
         mark, joined = (found[2], number in divided) if found else ("", False)
         if found:
             end = tokens[-1]

@@ -148,6 +148,30 @@ def test_editor_reads_by_learnt_confusions():
     assert editor.joins("far", "-", "mers") and not editor.joins("rain", "-", "fed")
 
 
+def test_editor_inserts_and_deletes_by_what_it_learnt():
+    words = "fertiliser nitrogen potassium irrigation cultivation harvesting germination transplanting laboratory committee district advisory".split()
+    counts = {w: 100 for w in [*PROSE.split(), *words]}
+    odd = [w[:i] + "~" + w[i:] for w in words for i in (2, 4, 6)] + [w[:i] + w[i + 1 :] for w in words for i in range(1, len(w) - 1) if w[i] == "i"]
+    editor = scans.train_editor(counts, {}, odd)
+    assert ("", "i") in editor.options[""] and ("~", "") in editor.options["~"]
+    assert editor.read("wea~ther") == ("weather", (3,)) and editor.read("condtions")[0] == "conditions" and editor.read("wether") is None
+    assert editor.read("x" * 500) is None and editor.read("con~d~itions" + "y" * 60) is None
+
+
+def test_readings_are_found_by_any_number_of_changes():
+    editor = scans.Editor({"hill" * 8: 9, "hi": 9}, {}, {}, {"!": [("!", "i"), ("!", "l")], "l": [("l", "i")], "1": [("1", "l"), ("1", "i")]})
+    assert editor.read("h!!1" * 8)[0] == "hill" * 8
+
+
+def test_ends_of_lines():
+    counts = {w: 100 for w in PROSE.split()} | {"rainfed": 40, "presowing": 3}
+    compounds = {"rain-fed": 60, "rain-fed fields": 55, "pre-sowing": 30, "pre-sowing check": 30, "long-term": 20}
+    editor = scans.train_editor(counts, compounds, ["we€ds", "fre€", "w€ath€r", "€vening"] * 3)
+    assert editor.joins("far", "-", "mers") and editor.joins("wea", "¬", "ther") and editor.joins("w€a", "-", "ther")
+    assert not editor.joins("rain", "-", "fed", "fields") and editor.joins("rain", "-", "fed", "conditions") and not editor.joins("long", "-", "term")
+    assert not editor.joins("natural", "-", "weeds") and editor.joins("Sep", "-", "tember")
+
+
 def test_page_numbers():
     good = ["- 13 -", "14", "[7]", "Page 12", "xiv", "39 / lO5", "- lO -"]
     assert all(map(scans.is_page_number, good))
