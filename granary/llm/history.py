@@ -2,19 +2,21 @@
 
 A text is brought to a content key: spelling slips are undone against the frequent words of the corpus, courtesies and
 small words dropped, named fields ordered. Its anchors (numbers, places and other rare words) must be equal for two texts
-to be nearly the same, so every band key hashes the anchors with one of the first remaining words in a fixed order. So
-many of them are taken that two texts that pass the verification always share a key.
+to be nearly the same. The signature of a class is its minwise sketch, the smallest hashes of its content words; each band
+key hashes the anchors with one of the least words in an order by rarity and hash. So many of them are taken that two texts
+that pass the verification always share a key.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granary.llm.canon import FIELD_END, FORM_LABELS, VALUE_START, _by_first, _label_starts, canonical
@@ -31,7 +33,11 @@ LOOSE_SHARE = 0.34
 BUCKETS = 64
 #: Runs that the batches of a whole table are put through the index in.
 GROUPS = 4
-INDEX = "band_key bigint, first_call bigint, anchors string, content string, bucket int"
+#: Hashes in a signature; a text of no more different words is in it as a whole.
+SKETCH = 16
+#: Classes of one band key that one task compares; larger keys are split by a second word that both texts must share.
+SPLIT = 4096
+INDEX = "band_key bigint, first_call bigint, anchors bigint, content string, signature array<int>, bucket int"
 
 #: Courtesies, remarks and small words that don't change a question.
 FILLERS = frozenset(
@@ -189,21 +195,56 @@ def nearly_same(a: list[str], b: list[str]) -> bool:
     return True
 
 
-def band_keys(anchors: str, content: str, counts: dict[str, int]) -> list[int]:
-    """Signed 64-bit keys: the anchors hashed with each of the rarest words by `counts`, then by hash (no word: one key).
+def signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def least_words(words: list[str], counts: dict[str, int]) -> list[str]:
+    """The different words that two nearly same texts must share one of: the rarest by `counts`, then by hash.
 
     At most most_loose(length) words of a text may lack in one that is nearly the same (in a longer one too, since
     most_loose grows slower than the length). So of that many words and one more, in an order that both texts share, the
     first common word is among those of either: no pair is missed.
     """
-    words = content.split()
     rank = lambda w: (counts.get(w, 0), xxhash.xxh64_intdigest(w), w)
-    first = sorted(set(words), key=rank)[: most_loose(len(words)) + 1]
-    out = []
-    for word in first or [""]:
-        h = xxhash.xxh64_intdigest(repr((anchors, word)))
-        out.append(h - (1 << 64) if h >> 63 else h)
-    return out
+    return sorted(set(words), key=rank)[: most_loose(len(words)) + 1]
+
+
+def band_keys(anchors: str, content: str, counts: dict[str, int]) -> list[int]:
+    """Signed 64-bit keys: the anchors hashed with each of the least words (no word: one key)."""
+    return [signed(xxhash.xxh64_intdigest(repr((anchors, word)))) for word in least_words(content.split(), counts) or [""]]
+
+
+def second_keys(band_key: int, content: str) -> list[int]:
+    """The keys that split an oversized band key, none of its pairs being lost.
+
+    Texts of which one has more than LOOSE_WORDS + 1 words share two words at least; of the different words, by hash, the
+    first or second common one is among the first most_loose + 2. Shorter texts are also compared under a key of their own,
+    of which there are no more than short lists of frequent words.
+    """
+    words = content.split()
+    first = sorted(set(words), key=lambda w: (xxhash.xxh64_intdigest(w, 1), w))[: most_loose(len(words)) + 2]
+    pairs = [f"{a} {b}" for i, a in enumerate(first) for b in first[i + 1 :]]
+    if len(words) <= LOOSE_WORDS + 1:
+        pairs.append("")
+    return [signed(xxhash.xxh64_intdigest(repr((band_key, pair)))) for pair in dict.fromkeys(pairs)]
+
+
+def sketch(content: str) -> list[int]:
+    """The signature: the SKETCH least 32-bit hashes of the different content words, in order."""
+    return sorted({xxhash.xxh32_intdigest(w) - (1 << 31) for w in content.split()})[:SKETCH]
+
+
+def may_be_same(a: list[str], sketch_a: frozenset[int], b: list[str], sketch_b: frozenset[int]) -> bool:
+    """Whether the signatures leave room for the words that nearly same texts share; true where they don't tell.
+
+    Equal hashes of different words only let a pair through.
+    """
+    if len(sketch_a) >= SKETCH or len(sketch_b) >= SKETCH:
+        return True
+    longer = max(len(a), len(b))
+    again = min(len(a) - len(sketch_a), len(b) - len(sketch_b))
+    return len(sketch_a & sketch_b) + again >= longer - most_loose(longer)
 
 
 def canonical_calls(calls: DataFrame, id_col: str, text_col: str, batch_col: str) -> DataFrame:
@@ -249,14 +290,23 @@ def fit_speller(texts: DataFrame, total: int) -> Speller:
     return Speller({row["word"]: row["n"] for row in rows if not _DIGIT.search(row["word"])})
 
 
+_spellers: dict[str, Speller] = {}
+
+
+def _own_speller(token: str, counts) -> Speller:
+    """The speller of a worker process, which serves many tasks."""
+    if token not in _spellers:
+        _spellers.clear()
+        _spellers[token] = Speller(counts.value)
+    return _spellers[token]
+
+
 def content_keys(texts: DataFrame, speller: Speller) -> DataFrame:
     """The texts with (anchors, content); equal content keys are one class."""
-    shared = texts.sparkSession.sparkContext.broadcast(speller.counts)
-    made: dict[int, Speller] = {}
+    shared, token = texts.sparkSession.sparkContext.broadcast(speller.counts), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = made.setdefault(0, None) or Speller(shared.value)
-        made[0] = own
+        own = _own_speller(token, shared)
         for batch in batches:
             anchors, content = zip(*(content_key(k, own.fix) for k in batch.column(0).to_pylist())) if batch.num_rows else ((), ())
             yield pa.RecordBatch.from_arrays(
@@ -268,80 +318,117 @@ def content_keys(texts: DataFrame, speller: Speller) -> DataFrame:
     )
 
 
+_CLASS = "first_call bigint, anchors bigint, content string, signature array<int>"
+_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()))
+_NAMES = ["band_key", "first_call", "anchors", "content", "signature"]
+
+
 def index_rows(classes: DataFrame, counts: dict[str, int] | None = None) -> DataFrame:
-    """The index: (bucket INT, band_key BIGINT, first_call BIGINT, anchors STRING, content STRING), a row for each band key of a class.
+    """The index: (bucket INT, band_key, first_call, anchors BIGINT, content STRING, signature ARRAY<INT>), a row for each band key of a class.
 
-    `counts` give the words' order, which must be the same for all rows of an index. The content key stands for the
-    signature: it is shorter, and verification needs the words themselves.
+    `counts` give the words' order, which must be the same for all rows of an index. Anchors are kept as a hash of their own,
+    which with that in the band key makes 128 bits; the content stays, since verification needs the words in order.
     """
     shared = classes.sparkSession.sparkContext.broadcast(counts or {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [])
             for call, anchors, content in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                held, least = signed(xxhash.xxh64_intdigest(anchors, 1)), sketch(content)
                 for key in dict.fromkeys(band_keys(anchors, content, shared.value)):
-                    for column, x in zip(out, (key, call, anchors, content)):
+                    for column, x in zip(out, (key, call, held, content, least)):
                         column.append(x)
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["band_key", "first_call", "anchors", "content"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, _KINDS)], names=_NAMES)
+
+    keyed = classes.select("first_call", "anchors", "content").mapInArrow(run, f"band_key bigint, {_CLASS}")
+    return keyed.select(F.pmod("band_key", F.lit(BUCKETS)).cast("int").alias("bucket"), *_NAMES)
 
-    keyed = classes.select("first_call", "anchors", "content").mapInArrow(run, "band_key bigint, first_call bigint, anchors string, content string")
-    return keyed.select(F.pmod("band_key", F.lit(BUCKETS)).cast("int").alias("bucket"), "band_key", "first_call", "anchors", "content")
 
+_FOUND = f"target bigint, known boolean, band_key bigint, {_CLASS}, is_new boolean"
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Within each band key, in order of arrival: each class with the first earlier one that is nearly the same (or null),
+
+def _compare(split: int | None):
+    """Within each band key, in order of arrival: each new class with the first earlier one that is nearly the same (or null),
     and whether an equal class stands before it.
 
-    Every class is compared with all earlier ones of its key and anchors, whether these have links or not.
+    Every class is compared with all earlier ones of its key and anchors, whether these have links or not. Rows of keys with
+    more than `split` classes come out as they are, with `known` null.
     """
-    at, earlier = None, {}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, earlier = None, {}
+        for batch in batches:
+            out: tuple[list, ...] = tuple([] for _ in range(8))
+            for key, call, anchors, content, signature, new, n in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                if split is not None and n > split:
+                    row = (None, None, key, call, anchors, content, signature, new)
+                else:
+                    if key != at:
+                        at, earlier = key, {}
+                    words, hashes = content.split(), frozenset(signature)
+                    group = earlier.setdefault(anchors, [])
+                    target, equal = None, any(others == words for _, others, _ in group)
+                    if new:
+                        target = next((other for other, others, sketched in group if other != call and may_be_same(others, sketched, words, hashes) and nearly_same(others, words)), None)
+                    if not equal:
+                        group.append((call, words, hashes))
+                    if not new or (target is None and not equal):
+                        continue
+                    row = (target, equal, None, call, None, None, None, True)
+                for column, x in zip(out, row):
+                    column.append(x)
+            kinds = (pa.int64(), pa.bool_(), *_KINDS, pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["target", "known", *_NAMES, "is_new"])
+
+    return run
+
+
+def _resplit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        calls, targets, known = [], [], []
-        for key, call, anchors, content in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if key != at:
-                at, earlier = key, {}
-            words = content.split()
-            group = earlier.setdefault(anchors, [])
-            target = next((other for other, others in group if other != call and nearly_same(others, words)), None)
-            equal = any(others == words for _, others in group)
-            if target is not None or equal:
-                calls.append(call)
-                targets.append(target)
-                known.append(equal)
-            if not equal:
-                group.append((call, words))
-        yield pa.RecordBatch.from_arrays([pa.array(calls, pa.int64()), pa.array(targets, pa.int64()), pa.array(known, pa.bool_())], names=["first_call", "target", "known"])
-
-
-def linked(index: DataFrame, new: DataFrame | None = None) -> DataFrame:
-    """(first_call, target, known): as `probe`, and whether the index held the class already; target may be null then."""
-    names = ["band_key", "first_call", "anchors", "content"]
-    rows = index.select(*names)
+        out: tuple[list, ...] = tuple([] for _ in range(6))
+        for key, call, anchors, content, signature, new in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            for second in second_keys(key, content):
+                for column, x in zip(out, (second, call, anchors, content, signature, new)):
+                    column.append(x)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (*_KINDS, pa.bool_()))], names=[*_NAMES, "is_new"])
+
+
+def linked(index: DataFrame, new: DataFrame | None = None, split: int = SPLIT) -> DataFrame:
+    """(first_call, target, known): as `probe`, and whether the index held the class already; target may be null then.
+
+    One shuffle by band key; keys that have no new class, or a single one, end before Python. What is left of keys with more
+    than `split` classes is compared by `second_keys`.
+    """
+    rows = index.select(*_NAMES, F.lit(new is None).alias("is_new"))
     if new is not None:
-        rows = rows.join(new.select("band_key").distinct(), "band_key", "left_semi").select(*names).unionByName(new.select(*names))
-    links = (
-        rows.repartition("band_key").sortWithinPartitions("band_key", "first_call").mapInArrow(_links, "first_call bigint, target bigint, known boolean")
-        .groupBy("first_call").agg(F.min("target").alias("target"), F.max("known").alias("known"))
-    )
-    if new is None:
-        return links
-    return links.join(new.select("first_call").distinct(), "first_call", "left_semi")
+        rows = rows.unionByName(new.select(*_NAMES, F.lit(True).alias("is_new")))
+
+    def compare(rows: DataFrame, limit: int | None) -> DataFrame:
+        key = Window.partitionBy("band_key")
+        sized = rows.select("*", F.count(F.lit(1)).over(key).alias("n"), F.max("is_new").over(key).alias("wanted")).filter("wanted and n > 1").drop("wanted")
+        return sized.sortWithinPartitions("band_key", "first_call", "is_new").mapInArrow(_compare(limit), _FOUND)
+
+    found = materialize(compare(rows, split), "found")
+    links = found.filter("known is not null").select("first_call", "target", "known")
+    large = found.filter("known is null")
+    if not large.isEmpty():
+        smaller = large.select(*_NAMES, "is_new").mapInArrow(_resplit, f"band_key bigint, {_CLASS}, is_new boolean")
+        links = links.unionByName(compare(smaller, None).select("first_call", "target", "known"))
+    return links.groupBy("first_call").agg(F.min("target").alias("target"), F.max("known").alias("known"))
 
 
-def probe(index: DataFrame, new: DataFrame | None = None) -> DataFrame:
+def probe(index: DataFrame, new: DataFrame | None = None, split: int = SPLIT) -> DataFrame:
     """(first_call, target): classes of `new` (by default of the index itself) and the earliest class nearly the same.
 
-    The target is nearly the same itself, not by way of a third class. Only the band keys that occur in `new` are read
-    from the index.
+    The target is nearly the same itself, not by way of a third class.
     """
-    return linked(index, new).filter("target is not null").select("first_call", "target")
+    return linked(index, new, split).filter("target is not null").select("first_call", "target")
 
 
 def append_index(index: DataFrame, path: str) -> None:
     """Add the keys of accepted records to a persisted index, partitioned by hash."""
-    index.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(path)
+    index.repartition("bucket").sortWithinPartitions("bucket", "band_key").write.mode("append").partitionBy("bucket").parquet(path)
 
 
 def read_index(spark: SparkSession, path: str, new: DataFrame | None = None) -> DataFrame:

@@ -637,7 +637,7 @@ def running_headers(rows: DataFrame) -> DataFrame:
     close = lambda t: F.levenshtein(bare("key"), t) <= most
     near = (
         pieces(counted.join(known, ["book", "key"], "left_anti"), "key").join(pieces(known, "title"), ["book", "piece"]).select("book", "key", "title").distinct()
-        .filter(close(bare("title")) | close(F.concat(F.lit("chapter"), bare("title"))))
+        .filter(close(bare("title")) | close(F.concat(F.lit("chapter"), bare("title")))).repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "title")
         .filter(F.pandas_udf(_near_title, "boolean")("key", "title")).select("book", "key")
     )
     sure = near.unionByName(known).distinct()

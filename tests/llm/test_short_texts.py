@@ -177,6 +177,7 @@ def test_probe_equals_brute_force(spark, counts):
             want[i] = near[0]
     index = history.index_rows(spark.createDataFrame(rows, "first_call long, anchors string, content string"), counts)
     assert {r["first_call"]: r["target"] for r in history.probe(index).collect()} == want
+    assert {r["first_call"]: r["target"] for r in history.probe(index, split=3).collect()} == want
 
 
 def test_batches_go_through_the_stored_history(spark, tmp_path):
@@ -192,3 +193,25 @@ def test_batches_go_through_the_stored_history(spark, tmp_path):
     assert step(2) == {(1, 10)} and history.read_index(spark, f"{path}/index").count() == size
     assert step(3) == {(1, 20), (11, 21), (11, 22)}
     assert {tuple(r) for r in history.find_repeats(df).collect()} == {(1, 10), (1, 20), (11, 21), (11, 22)}
+
+
+def test_repeats_without_places_or_numbers(spark):
+    """Recall and precision on questions that no rare word or number tells apart, against the questions they were made of."""
+    rng = random.Random(12)
+    crops, troubles, tools = "paddy wheat maize cotton onion".split(), "wilt blast smut aphid thrips".split(), "sprayer tiller planter".split()
+    asked = [f"how to control {t} in {c}" for c in crops for t in troubles] + [f"subsidy on {m} for {c} growers" for c in crops for m in tools] + [f"which variety of {c} resists {t} best" for c in crops for t in troubles]
+    noise = ["sir {}", "{} please tell me", "kindly {}", "{} urgent", "my {}", "{} ?"]
+
+    def slip(text):
+        words = text.split()
+        at = rng.choice([i for i, w in enumerate(words) if len(w) >= 6])
+        w, i = words[at], rng.randrange(1, len(words[at]) - 1)
+        words[at] = rng.choice([w[:i] + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + w[i] + w[i:], w[:i] + rng.choice("aeiou") + w[i + 1 :]])
+        return " ".join(words)
+
+    first = [(i, t, 1) for i, t in enumerate(asked)]
+    again = [(1000 + j, rng.choice(noise).format(slip(t) if j % 2 else t), 2) for j, (_, t, _) in enumerate(first * 3)]
+    df = spark.createDataFrame([(*r, None) for r in first + again], "call_id long, querytext string, batch_no int, accepted_id string")
+    want = {(first[j % len(first)][0], i) for j, (i, _, _) in enumerate(again)}
+    got = {tuple(r) for r in history.find_repeats(df).collect()}
+    assert len(got & want) >= 0.95 * len(want) and len(got & want) >= 0.95 * len(got)
