@@ -1,7 +1,7 @@
 """Problem 2: freely typed values mapped to the closest entry of a reference list.
 
-A prefix-filter set-similarity join on character pairs finds the candidates, exact Jaccard verifies them, and an edit
-distance that knows common slips picks the closest.
+A prefix-filter set-similarity join on character pairs finds the candidates, exact Jaccard verifies them and the most similar
+is kept; an edit distance that knows common slips tells whether it is meant at all, and decides ties.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def forms_of(value: str) -> list[str]:
     parts = [found for part in PARTS.split(folded) if (found := WORDS.findall(part))]
     if len(parts) > 1:
         take([w for found in reversed(parts) for w in found])
-    if 1 < len(words) <= 3:
+    if len(words) > 1:
         take(words[::-1])
     if len(parts) > 1:
         for found in parts:
@@ -170,8 +170,8 @@ def map_values(values: DataFrame, terms: DataFrame, list_bound: int = 100_000) -
     """(value, scope, term_id): the closest entry of the list for each different (value, scope), 0 if none is meant.
 
     `scope` is the only kind to look in, or ANY_KIND. The list is broadcast while it has no more than
-    `list_bound` spellings and shuffled beyond. Ties go to the smaller distance, the less changed form, the greater
-    similarity, a term before an alias, then the smaller id.
+    `list_bound` spellings and shuffled beyond. The greatest similarity is kept; ties go to the smaller
+    distance, the less changed form, a term before an alias, then the smaller id.
     """
     listed = materialize(reference_forms(terms), "terms")
     small = listed.count() <= list_bound
@@ -192,7 +192,7 @@ def map_values(values: DataFrame, terms: DataFrame, list_bound: int = 100_000) -
         .join(F.broadcast(entry) if small else entry, "listed")
         .filter((F.col("scope") == ANY_KIND) | (F.col("scope") == F.col("kind")))
         .groupBy("value", "scope")
-        .agg(F.min(F.struct("distance", "step", (-F.col("jaccard")).alias("far"), "alias", "term_id")).alias("best"))
+        .agg(F.min(F.struct((-F.col("jaccard")).alias("far"), "distance", "step", "alias", "term_id")).alias("best"))
         .select("value", "scope", F.col("best.term_id").alias("term_id"))
     )
     everything = values.select("value", "scope").distinct()

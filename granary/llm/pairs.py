@@ -30,7 +30,7 @@ FINAL_SHARE = 0.002
 #: Texts that only hold the place of an answer.
 PLACEHOLDERS = frozenset(
     "none null nil na n/a nan none null. tbd todo answer answers ans pending blank empty unknown undefined placeholder text here n.a n.a. not applicable".split()
-) | {"not available", "no answer", "to be added", "to be filled", "answer here", "your answer", "insert answer here", "coming soon", "not applicable"}
+) | {"not available", "not yet available", "not provided", "not given", "no data", "no content", "no text", "no response", "tba", "to be announced", "to be provided", "no answer", "to be added", "to be filled", "answer here", "your answer", "insert answer here", "coming soon", "not applicable"}
 #: Words before a repeated question.
 LEAD_INS = ("you asked", "you have asked", "the question is", "question is", "the question was", "question", "answer", "q", "a", "ans", "your question")
 #: Words that no sentence ends with.
@@ -84,15 +84,72 @@ def is_empty(answer: str | None) -> bool:
     return not words or " ".join(words) in PLACEHOLDERS or "".join(bare.split()).strip(".:-[](){}<>\"'") in PLACEHOLDERS
 
 
-def is_refusal(answer: str) -> bool:
-    """Whether the answer declines and says hardly anything else."""
+#: Stems by which a sentence that declines is told in any wording: what denies, what is about answering or
+#: knowing, and who speaks or what is asked.
+DENY = tuple(
+    (
+        "not n't cannot cant no never unable declin refus nothing unavailabl insufficient lack afraid sorry unfortunately regret apolog outside beyond neither hesitat "
+        "नहीं नही नाही असमर्थ असमर्थता शकत না নেই অপারগ நான்முடியாது முடியாது இல்லை இயலாது தெரியாது లేదు లేను లేము లేద తెలియదు కాదు નથી નહીં અસમર્થ ਨਹੀਂ ਅਸਮਰੱਥ"
+    ).split()
+)
+ANSWERING = tuple(
+    (
+        "answer repl respon advis advic comment help assist guid tell say speak recommend opinion suggest idea clue position remit scope know information info detail "
+        "data sure certain aware expertise record competen authoris authoriz equipped able possible "
+        "उत्तर जवाब बता सलाह सल्ला मदद मदत सहायता टिप्पणी जानकारी माहिती पता मालूम सूचना ज्ञान ठाऊक सांग উত্তর বলতে পরামর্শ সাহায্য তথ্য জান বলা பதில் ஆலோசனை உதவி உதவ தகவல் சொல்ல கூற தெரிய "
+        "సమాధాన సలహా సహాయ సమాచార చెప్ప తెలియ જવાબ સલાહ મદદ માહિતી ખબર ਜਵਾਬ ਸਲਾਹ ਮਦਦ ਜਾਣਕਾਰੀ ਪਤਾ ਦੱਸ"
+    ).split()
+)
+SPEAKER = frozenset(
+    (
+        "i i'm i'd i've im me my we we're we've us our ours myself assistant model bot system question query request enquiry topic "
+        "मैं मुझे मेरे मेरी मुझ हम हमें हमारे हमारी मी मला माझ्या माझ्याकडे आम्ही आम्हाला आमच्या आमच्याकडे आमचे আমি আমার আমাকে আমরা আমাদের நான் எனக்கு என்னால் என்னிடம் எங்களால் எங்களிடம் எங்களுக்கு "
+        "నేను నాకు నా మేము మాకు మా మావద్ద હું મને મારી મારા અમે અમને અમારી અમારા ਮੈਂ ਮੈਨੂੰ ਮੇਰੇ ਅਸੀਂ ਸਾਨੂੰ ਸਾਡੇ प्रश्न सवाल প্রশ্ন প্রশ্নের கேள்வி கேள்விக்கு ప్రశ్న ప్రశ్నకు પ્રશ્ન પ્રશ્નનો ਸਵਾਲ"
+    ).split()
+)
+#: Small English words, which say nothing of the matter.
+SMALL = frozenset(
+    (
+        "a an the to of on in at by for from with and or but that this these those it its is are was were be been am do does did have has had can could will would shall "
+        "should may might must here there about any anything something what which who how when where why you your yours please kindly so as if than then rather such very "
+        "much more most enough too just still only matter subject one one's thing case point moment present currently now give given provide provided offer share make "
+        "get find found regarding concerning into out up all some really quite also yet"
+    ).split()
+)
+DENYING = regex.compile(r"n['’]t\b")
+#: Words of its own matter that a sentence which declines may have, beside those of the questions.
+OWN_MATTER = 1
+#: In languages without a list of small words, the share of words that have to do with declining.
+OWN_SHARE = 0.34
+
+
+def declines(sentence: str, asked: frozenset[str]) -> bool:
+    """Whether a folded sentence denies to answer or know, and has no matter of its own beside what was asked."""
+    words = regex.findall(r"[\p{L}\p{M}\p{Nd}]+(?:['’][\p{L}]+)*", sentence)
+    denies = [w for w in words if w.startswith(DENY) or DENYING.search(w)]
+    about = [w for w in words if w.startswith(ANSWERING) and w not in denies]
+    if not denies or not about:
+        return False
+    if not any(w in SPEAKER for w in words) and len(words) > 4:
+        return False
+    told = {*denies, *about, *(w for w in words if w in SPEAKER)}
+    if sentence.isascii() or sum(w.isascii() for w in words) > len(words) / 2:
+        return len([w for w in words if w not in told and w not in SMALL and w not in asked]) <= OWN_MATTER
+    return len([w for w in words if w in told or w in asked]) >= OWN_SHARE * len(words)
+
+
+def is_refusal(answer: str, questions: list[str] = ()) -> bool:
+    """Whether the answer declines and says hardly anything else: by known ways to put it, or by `declines`."""
     refused, other = False, 0
+    asked = frozenset(w for q in questions for w in WORDS.findall(fold(q)))
     for sentence in SENTENCE_END.split(fold(answer).replace("’", "'")):
-        if _REFUSAL.search(sentence):
+        if _REFUSAL.search(sentence) or declines(sentence, asked):
             refused = True
         elif not _REFERRAL.match(sentence.strip()):
             other += len(WORDS.findall(sentence))
-    return refused and other <= 6
+            if other > 6:
+                return False
+    return refused
 
 
 def is_copy(answer: str, questions: list[str]) -> bool:
@@ -146,7 +203,7 @@ def _judge(groups: DataFrame, model: LanguageModel) -> DataFrame:
                 elif is_copy(answer, questions):
                     found.append("copied_question")
                 else:
-                    if is_refusal(answer):
+                    if is_refusal(answer, questions):
                         found.append("refusal")
                     asked = own.whole(BRACKETS.sub(" ", " ".join(questions)))
                     given = own.whole(BRACKETS.sub(" ", answer))
@@ -242,10 +299,9 @@ def shortened_fragments(fragments: DataFrame, sentences: DataFrame) -> DataFrame
     known = seen.filter("state = 1").select(F.col("text").alias("fragment"))
     if not firsts:
         return known
-    later = F.lit(None).cast("string")
-    for part, text in reversed(firsts):  # ends with the nearest later part
-        later = F.when(F.col("part") < part, F.lit(text)).otherwise(later)
-    edge = seen.filter("state = 2").withColumn("next", later).filter("startswith(next, text)").select(F.col("text").alias("fragment"))
+    nearest = [(p, min(f for f in firsts if f[0] > p)[1]) for p in range(parts) if firsts[-1][0] > p]
+    following = both.sparkSession.createDataFrame(nearest, "part int, next string")
+    edge = seen.filter("state = 2").join(F.broadcast(following), "part").filter("startswith(next, text)").select(F.col("text").alias("fragment"))
     return known.unionByName(edge)
 
 

@@ -77,6 +77,18 @@ def test_pairs(spark, model):
     assert pairs.judge_pairs(df.limit(0), model).count() == 0
 
 
+#: Ways to decline that none of the listed patterns was made from, and sound answers with the same words.
+REFUSED = ["I have no idea about that.", "We regret that we cannot guide you here.", "That topic is outside my remit.", "I'd rather not say.", "No comment.", "I am not sure what to tell you about urea.", "Our desk is unable to assist with this query.", "Sorry, I have nothing to say on the dose of urea for wheat.", "I must decline.", "It is not possible for me to say anything on this matter.", "Unfortunately we lack the information.", "This request can't be handled by our assistant, it has no knowledge of it.", "I don't feel competent to comment on wheat.", "We are sorry, but there is nothing we can suggest here.", "My apologies, I am not equipped to respond to it.", "I cannot be of help with that question.", "मुझे इसके बारे में कोई जानकारी नहीं है।", "हम इस सवाल का जवाब देने की स्थिति में नहीं हैं।", "माफ़ कीजिए, मैं आपकी मदद नहीं कर सकता।", "मला याबद्दल काहीच माहिती नाही.", "আমি এই বিষয়ে কিছু জানি না, সাহায্য করতে পারছি না।", "என்னால் இதற்கு பதில் சொல்ல முடியாது.", "અમને આ વિશે કોઈ ખબર નથી.", "ਮੈਨੂੰ ਇਸ ਬਾਰੇ ਪਤਾ ਨਹੀਂ।", "నాకు దీని గురించి తెలియదు, సమాధానం చెప్పలేను."]
+SOUND = ["We do not advise spraying at noon.", "Do not irrigate before the rain.", "It cannot be treated once the crop has matured, so no spray is available after that stage.", "No, the seed needs no treatment.", "Never mix copper with urea; the leaves burn.", "I know a dose of 2 kg suits it, not more.", "Sorry plots need beds first.", "No spray is needed if the count is low.", "Urea is not sold without a record of the holding.", "The variety is not known to resist wilt.", "हम दोपहर में छिड़काव की सलाह नहीं देते, शाम को करें।", "बारिश से पहले सिंचाई न करें।", "No advice is needed on dry soil: wait for rain.", "Growers report that help arrives within two days."]
+
+
+def test_refusals_in_other_words():
+    asked = ["What dose of urea suits wheat on 2 acre?", "How much urea for wheat?"]
+    assert sum(pairs.is_refusal(t, asked) for t in REFUSED) >= 0.9 * len(REFUSED)
+    assert sum(pairs.is_refusal(t, asked) for t in SOUND) <= 0.1 * len(SOUND)
+    assert not pairs.is_refusal("I cannot say. " + "Spray neem oil in the evening and repeat after ten days. " * 200, asked)
+
+
 def test_shortened_fragments_across_partitions(spark):
     sentences = [f"{c}{d} and the rest of it" for c in "abcdefgh" for d in "xyz"]
     parts = [s[:4] for s in sentences[::2]] + ["zz", sentences[1]]
