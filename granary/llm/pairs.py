@@ -86,9 +86,10 @@ def is_empty(answer: str | None) -> bool:
 
 #: Stems by which a sentence that declines is told in any wording: what denies, what is about answering or
 #: knowing, and who speaks or what is asked.
+DENIALS = frozenset("not cannot cant no never".split())
 DENY = tuple(
     (
-        "not n't cannot cant no never unable declin refus nothing unavailabl insufficient lack afraid sorry unfortunately regret apolog outside beyond neither hesitat "
+        "unable declin refus nothing unavailabl insufficient lack afraid sorry unfortunately regret apolog outside beyond neither hesitat "
         "नहीं नही नाही असमर्थ असमर्थता शकत না নেই অপারগ நான்முடியாது முடியாது இல்லை இயலாது தெரியாது లేదు లేను లేము లేద తెలియదు కాదు નથી નહીં અસમર્થ ਨਹੀਂ ਅਸਮਰੱਥ"
     ).split()
 )
@@ -126,7 +127,7 @@ OWN_SHARE = 0.34
 def declines(sentence: str, asked: frozenset[str]) -> bool:
     """Whether a folded sentence denies to answer or know, and has no matter of its own beside what was asked."""
     words = regex.findall(r"[\p{L}\p{M}\p{Nd}]+(?:['’][\p{L}]+)*", sentence)
-    denies = [w for w in words if w.startswith(DENY) or DENYING.search(w)]
+    denies = [w for w in words if w in DENIALS or w.startswith(DENY) or DENYING.search(w)]
     about = [w for w in words if w.startswith(ANSWERING) and w not in denies]
     if not denies or not about:
         return False
