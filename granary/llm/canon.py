@@ -8,7 +8,7 @@ import regex
 
 WORDS = regex.compile(r"(?:[\p{L}\p{M}\p{Nd}]|(?<=\p{Nd})[./-](?=\p{Nd}))+")
 HAS_WORD = regex.compile(r"[\p{L}\p{Nd}]")
-#: The field labels of the call-centre form.
+#: The field labels of the call-centre form; others are learnt from the texts.
 FORM_LABELS = ("crop", "problem", "stage", "village", "area acre", "previous crop", "soil", "product", "remark")
 FIELD_MARKS = (";", "|", "\n", ",", "/", "\t", ".")
 FIELD = regex.compile(r"[^\p{L}\p{M}\p{Nd}]*((?:[\p{L}\p{M}]+[ _]*){1,3}?)\s*(?:[:=]|->|(?<=\s)[-–—](?=\s))(.*)", regex.DOTALL)
@@ -44,6 +44,13 @@ def _marked_fields(folded: str) -> list[tuple[str, str]] | None:
     return None
 
 
+def marked_labels(text: str) -> tuple[list[str], set[str]]:
+    """(the labels of a text whose parts all have a label mark, else none; its different words)."""
+    folded = fold(text)
+    fields = _marked_fields(folded)
+    return [label for label, _ in fields or ()], set(WORDS.findall(folded))
+
+
 def _label_starts(words: list[str], labels: dict[str, list[tuple[str, ...]]]) -> list[tuple[int, int]]:
     starts, i = [], 0
     while i < len(words):
@@ -87,11 +94,16 @@ def fields_of(folded: str, words: list[str], known=None) -> list[tuple[str, str]
     return [(" ".join(words[i : i + n]), " ".join(words[i + n : end])) for (i, n), end in zip(starts, ends)]
 
 
-def canonical(text: str | None) -> str | None:
+def known_labels(learnt: tuple[str, ...]) -> dict[str, list[tuple[str, ...]]]:
+    """The labels of the call-centre form and learnt ones, for `canonical`."""
+    return _by_first(tuple(dict.fromkeys((*FORM_LABELS, *learnt)))) if learnt else _KNOWN
+
+
+def canonical(text: str | None, known=None) -> str | None:
     """The record that a text states, or None if it has neither letter nor digit.
 
     Equal results: equal words and numbers in equal order, whatever the white space, letter case, punctuation or
-    Unicode composition; for forms, equal fields in any order.
+    Unicode composition; for forms, equal fields in any order. `known` has the labels, by default those of the call-centre form.
     """
     if text is None:
         return None
@@ -99,7 +111,7 @@ def canonical(text: str | None) -> str | None:
     words = WORDS.findall(folded)
     if not words or not HAS_WORD.search(folded):
         return None
-    fields = fields_of(folded, words)
+    fields = fields_of(folded, words, known)
     if fields is None:
         return " ".join(words)
     return FIELD_END.join(f"{label}{VALUE_START}{value}" for label, value in sorted(fields))

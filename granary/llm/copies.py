@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.canon import canonical
+from granary.llm.canon import canonical, known_labels, marked_labels
 from granary.session import materialize
 
 #: Depths in bytes at which a bucket may be cut; the next depth is only used below oversized prefixes.
@@ -21,6 +21,9 @@ HOT_SHARE = 1024
 #: Entries of a local trie before it is emptied into the exchange.
 LOCAL_ENTRIES = 50_000
 BURST = 48
+#: A label is learnt if it labels fields in this share of the texts with marks, in LABEL_LEAST at least, and in so large a share
+#: of those that have its first word; so there are at most 1 / LABEL_SHARE times the fields of a text.
+LABEL_SHARE, LABEL_LEAST, LABEL_RATE = 1e-4, 2, 0.5
 BATCH = 8192
 
 
@@ -143,14 +146,50 @@ def _count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield _counted(rows[at : at + BATCH])
 
 
+def learn_labels(rows: DataFrame, text_col: str) -> tuple[str, ...]:
+    """The field labels of forms: what stands before a label mark in texts whose parts all have one, and seldom elsewhere."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels: dict[str, int] = {}
+        words: dict[str, int] = {}
+
+        def flush() -> pa.RecordBatch:
+            both = [(0, x, n) for x, n in labels.items()] + [(1, x, n) for x, n in words.items()]
+            labels.clear()
+            words.clear()
+            kinds, names, counts = zip(*both) if both else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(names, pa.string()), pa.array(counts, pa.int64())], names=["kind", "name", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                found, seen = marked_labels(text)
+                for label in found:
+                    labels[label] = labels.get(label, 0) + 1
+                for word in seen:
+                    words[word] = words.get(word, 0) + 1
+            words[""] = words.get("", 0) + batch.num_rows
+            if len(words) > LOCAL_ENTRIES:
+                yield flush()
+        yield flush()
+
+    marked = rows.select(F.col(text_col).cast("string").alias("text")).filter(r"text rlike '[:=]|->|\\s[-–—]\\s'")
+    counts = materialize(marked.mapInArrow(run, "kind int, name string, n bigint").groupBy("kind", "name").agg(F.sum("n").alias("n")), "labels")
+    total = counts.filter("kind = 1 and name = ''").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    labels = counts.filter(f"kind = 0 and name <> '' and n >= {max(LABEL_LEAST, int(LABEL_SHARE * total))}").select(F.col("name").alias("label"), F.col("n").alias("named"))
+    words = counts.filter("kind = 1").select(F.col("name").alias("first"), "n")
+    kept = labels.withColumn("first", F.substring_index("label", " ", 1)).join(words, "first").filter(F.col("named") >= LABEL_RATE * F.col("n"))
+    return tuple(sorted(row["label"] for row in kept.collect()))
+
+
 def canonical_rows(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(key BINARY, id BIGINT): the canonical bytes of every text that has a letter or digit."""
+    """(key BINARY, id BIGINT): the canonical bytes of every text that has a letter or digit; labels of forms are learnt from all texts."""
+    known = known_labels(learn_labels(rows, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, ids = [], []
             for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                key = canonical(text)
+                key = canonical(text, known)
                 if key is not None:
                     keys.append(key.encode())
                     ids.append(id_)

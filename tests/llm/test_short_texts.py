@@ -62,6 +62,14 @@ def test_copies_equal_brute_force(spark):
     assert sum(r["copies"] for r in copies.collapse_copies(df).collect()) == sum(1 for i, t, *_ in rows if i is not None and canonical(t) is not None)
 
 
+def test_forms_with_labels_of_their_own_collapse(spark):
+    forms = [("Season: kharif; District: Pune; Seed: basmati", "district = PUNE | seed = Basmati | season = kharif"), ("मौसम: खरीफ; जिला: पुणे; बीज: धान", "जिला: पुणे; बीज: धान; मौसम: खरीफ")]
+    prose = ["how: to sow, rice: in pune", "how to sow rice in pune", "district news for pune", "district office in pune", "Season: kharif; District: Pune; Seed: Basmati II", "note: one", "note: one"]
+    rows = [(2 * i + k, t, 1, None) for i, pair in enumerate(forms) for k, t in enumerate(pair)] + [(100 + i, t, 1, None) for i, t in enumerate(prose)] + [(200 + i, f"how to sow {i}", 1, None) for i in range(20)]
+    rows += [(300, "season kharif district pune seed basmati", 1, None)]
+    assert {tuple(r) for r in copies.find_copies(questions(spark, rows)).collect()} == {(0, 1), (2, 3), (100, 101), (105, 106), (0, 300)}
+
+
 def test_buckets_are_cut_until_they_fit(spark):
     keys = [f"how to control pest {i:04d}".encode() for i in range(500)] + [b"hot"] * 700
     keyed = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key binary, id long")
