@@ -122,3 +122,65 @@ def release_links(page: Column, base: str) -> Column:
         return pages.map(one)
 
     return F.pandas_udf(run, "array<struct<heading:string,link:string>>")(page)
+
+
+class _Form(HTMLParser):
+    """Fields of a page's inputs, and the options of its selects."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.fields: dict[str, str] = {}
+        self.options: list[tuple[str, str, list[str]]] = []
+        self.select: str | None = None
+        self.open = False
+
+    def handle_starttag(self, tag, attrs):
+        a = {k: v or "" for k, v in attrs}
+        if tag == "input" and a.get("name"):
+            self.fields[a["name"]] = a.get("value", "")
+        elif tag == "select":
+            self.select = a.get("name", "")
+        elif tag == "option" and self.select is not None:
+            self.options.append((self.select, a.get("value", ""), []))
+            self.open = True
+
+    def handle_endtag(self, tag):
+        if tag == "select":
+            self.select, self.open = None, False
+        elif tag == "option":
+            self.open = False
+
+    def handle_data(self, data):
+        if self.open:
+            self.options[-1][2].append(data)
+
+
+def form_state(page: Column) -> Column:
+    """struct<fields, options>: a form's inputs by name, which are posted back with it, and (select, value, text) of its options; null for null."""
+
+    def run(pages: pd.Series) -> pd.DataFrame:
+        fields, options = [], []
+        for page in pages:
+            parser = _Form()
+            parser.feed(page or "")
+            parser.close()
+            fields.append(parser.fields)
+            options.append([{"select": s, "value": v, "text": "".join(t).strip()} for s, v, t in parser.options])
+        return pd.DataFrame({"fields": fields, "options": options})
+
+    made = F.pandas_udf(run, "fields map<string,string>, options array<struct<select:string,value:string,text:string>>")(page)
+    return F.when(page.isNotNull(), made)
+
+
+def select_named(options: Column, keyword: Column | str) -> Column:
+    """The options of the first select whose name has the keyword in any letter case."""
+    word = F.lower(F.lit(keyword) if isinstance(keyword, str) else keyword)
+    fits = F.filter(options, lambda o: F.contains(F.lower(o["select"]), word))
+    return F.filter(options, lambda o: o["select"] == F.get(fits, F.lit(0))["select"])
+
+
+def form_post(fields: Column, target: Column, chosen: Column) -> Column:
+    """What is posted: the page's own fields, the control that sends it, and the chosen values, which replace fields of their name."""
+    event = F.create_map(F.lit("__EVENTTARGET"), target, F.lit("__EVENTARGUMENT"), F.lit(""))
+    keep = lambda m, over: F.map_filter(m, lambda k, v: ~F.map_contains_key(over, k))
+    return F.map_concat(keep(keep(fields, event), chosen), keep(event, chosen), chosen)

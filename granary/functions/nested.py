@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from granary.functions.text import strip
+from granary.functions.text import IMAGE, strip
 
 GROUP = "struct<authoritative_answer:string,answer:string,alternative_questions:array<string>,question:string,variations:array<struct<question:string,answer:string>>>"
-GROUPS = f"struct<qna_groups:array<{GROUP}>>"
+GROUPS = f"array<{GROUP}>"
 ENVELOPE = "struct<key:string,error:string,response:struct<candidates:array<struct<content:struct<parts:array<struct<text:string>>>>>>>"
 MESSAGES = "struct<messages:array<struct<role:string,content:string>>>"
 
@@ -27,6 +27,28 @@ def salvage_json(reply: Column) -> Column:
     return F.coalesce(valid_json(bare), valid_json(fenced), valid_json(bracketed))
 
 
+def split_segments(text: Column) -> Column:
+    """array<struct<kind, body>>: the texts and embedded images of a text in order, texts that are blank left out."""
+    parts, images = F.split(text, IMAGE, -1), F.regexp_extract_all(text, F.lit(f"({IMAGE})"))
+    both = F.flatten(F.transform(parts, lambda p, i: F.array(F.struct(F.lit("text").alias("kind"), p.alias("body")), F.struct(F.lit("image").alias("kind"), F.get(images, i).alias("body")))))
+    return F.filter(both, lambda s: s["body"].isNotNull() & ((s["kind"] == "image") | (strip(s["body"]) != "")))
+
+
+def groups_json(reply: Column) -> Column:
+    """A reply's JSON array of groups: what it has under qna_groups, else its first list under any key; null if there is none."""
+    named = F.get_json_object(reply, "$.qna_groups")
+    keys = F.json_object_keys(reply)
+    lists = F.filter(F.transform(keys, lambda k: F.call_function("get_json_object", reply, F.concat(F.lit("$['"), k, F.lit("']")))), lambda v: F.startswith(F.ltrim(v), F.lit("[")))
+    return F.coalesce(named, F.get(lists, F.lit(0)))
+
+
+def caption_list(reply: Column, count: Column) -> Column:
+    """The captions of a reply between its first and last bracket, stripped; blank ones where it has another number of them or none."""
+    found = F.from_json(F.regexp_extract(reply, r"(?s)\[.*\]", 0), "array<string>")
+    blank = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.lit(""))
+    return F.when(F.size(found) == count, F.transform(found, lambda c: strip(F.coalesce(c, F.lit(""))))).when(count > 0, blank).otherwise(F.array().cast("array<string>"))
+
+
 def captions(reply: Column, count: Column) -> Column:
     """A JSON array of exactly `count` captions, else null."""
     found = F.from_json(reply, "array<string>")
@@ -67,8 +89,7 @@ def trainable_spans(chat: Column) -> Column:
 
 def interleave_figures(text: Column, notes: Column) -> Column:
     """Embedded images of a text replaced in order by [FIGURE n: note], n from 0; a missing or blank note has a stock text."""
-    image = r"!\[.*?\]\(data:image/[^;]+;base64,[^\)]+\)"
-    parts = F.split(text, image, -1)
+    parts = F.split(text, IMAGE, -1)
     stock = F.lit("visual asset present in the original book page")
     note = lambda i: F.coalesce(F.nullif(strip(F.coalesce(F.try_element_at(notes, i), F.lit(""))), F.lit("")), stock)
     whole = F.transform(parts, lambda p, i: F.concat(F.when(i > 0, F.concat(F.lit("\n[FIGURE "), (i - 1).cast("string"), F.lit(": "), note(i), F.lit("]\n"))).otherwise(F.lit("")), F.when(strip(p) != "", p).otherwise(F.lit(""))))

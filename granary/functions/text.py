@@ -212,6 +212,20 @@ def strip_fence(text: Column) -> Column:
     return F.when(F.startswith(bare, F.lit("```")), inner).otherwise(bare)
 
 
+def strip_fence_lines(text: Column) -> Column:
+    """A stripped text without its first line if that opens a fence of any language, and without a last line that closes one."""
+    bare = strip(text)
+    inner = strip(F.regexp_replace(F.regexp_replace(bare, r"^```[^\n]*(?:\n|$)", ""), r"(?:^|\n)[ \t]*```[ \t]*$", ""))
+    return F.when(F.startswith(bare, F.lit("```")), inner).otherwise(bare)
+
+
+def strip_fence_marks(text: Column) -> Column:
+    """A stripped text without the marks of a fence: with a language of letters or none before it, line breaks or none."""
+    bare = strip(text)
+    inner = F.regexp_replace(F.regexp_replace(bare, r"^```[a-zA-Z]*\n?", ""), r"\n?```$", "")
+    return F.when(F.startswith(bare, F.lit("```")), inner).otherwise(bare)
+
+
 def safe_filename(name: Column) -> Column:
     """A name without the characters that file systems forbid."""
     return strip(F.regexp_replace(name, r'[\\/*?:"<>|]', ""))

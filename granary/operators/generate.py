@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.nested import ENVELOPE, GROUPS, MESSAGES, first_content
+from granary.functions.nested import ENVELOPE, GROUPS, MESSAGES, first_content, groups_json
 from granary.functions.text import strip, strip_fence
 from granary.operators.ids import with_row_ids
 
@@ -63,8 +63,8 @@ def flatten_replies(lines: DataFrame, column: str) -> DataFrame:
     """(key, question, answer) of batch results in any of the three shapes of groups; what can't be read gives no row."""
     parsed = lines.select(F.from_json(column, ENVELOPE).alias("e")).filter("e.error is null")
     text = F.col("e.response.candidates")[0]["content"]["parts"][0]["text"]
-    groups = parsed.filter("size(e.response.candidates) > 0").select(F.col("e.key").alias("key"), F.from_json(strip_fence(text), GROUPS).alias("g"))
-    each = groups.select("key", F.explode("g.qna_groups").alias("g"))
+    groups = parsed.filter("size(e.response.candidates) > 0").select(F.col("e.key").alias("key"), F.from_json(groups_json(strip_fence(text)), GROUPS).alias("g"))
+    each = groups.select("key", F.explode("g").alias("g"))
     single = F.when(F.coalesce("g.question", F.lit("")) != "", F.array("g.question")).otherwise(F.array().cast("array<string>"))
     answer = strip(F.coalesce("g.authoritative_answer", "g.answer"))
     one = F.transform(F.coalesce("g.alternative_questions", single), lambda q: F.struct(q.alias("question"), answer.alias("answer")))

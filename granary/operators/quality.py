@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions.text import NUMBER, strip
@@ -64,9 +64,24 @@ def resolve_kinds(kinds: Column) -> Column:
     return F.array_distinct(F.transform(kinds, resolve_alias))
 
 
-def split_decisions(df: DataFrame, decision: Column, path: str) -> None:
-    """One pass: rows written below decision=KEEP and decision=DISCARD."""
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether an earlier run has written this table to its end."""
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def split_decisions(df: DataFrame, decision: Column, path: str) -> bool:
+    """One pass: rows written below decision=KEEP and decision=DISCARD, neither if it has no rows; false, and nothing done, if they are there."""
+    if finished(df.sparkSession, path):
+        return False
     df.withColumn("decision", decision).write.mode("overwrite").partitionBy("decision").parquet(path)
+    return True
+
+
+def evaluated(chapters: DataFrame, title: str) -> DataFrame:
+    """The chapters that an evaluation asks about: none with reference in its title."""
+    return chapters.filter(~F.lower(F.coalesce(title, F.lit(""))).contains("reference"))
 
 
 def has_numbers(text: Column) -> Column:

@@ -59,22 +59,29 @@ def chapter_pages(spark, d):
     return found.select("book", "key", F.col("pages").cast("bigint"), F.md5("text").alias("text_hash"))
 
 
-@query("""with m as (select book_key as book, max(page_no) as n from page_blocks where book_key is not null group by 1),
-t as (select distinct p.book_key as book, p.page_no as s, m.n from page_blocks p join m on m.book = p.book_key where (p.page_no - 1) % 12 = 0)
+#: A page on which a chapter begins, and one with a heading of its own or a table.
+_CHAPTER = r"(?:^|\n)\s*Chapter\s+\S{1,4}\s*:"
+_TOPIC = r"(?:^|\n)\s*Chapter\s+\S{1,4}\s*:|\|"
+
+
+@query(rf"""with m as (select book_key as book, max(page_no) as n from page_blocks where book_key is not null group by 1),
+t as (select distinct p.book_key as book, p.page_no as s, m.n from page_blocks p join m on m.book = p.book_key where regexp_matches(p.text, '{_CHAPTER}'))
 select book, cast(s as bigint) as start_page, cast(s + 8 as bigint) as first_page, cast(greatest(s, coalesce(lead(s) over (partition by book order by s) - 1, n)) + 8 as bigint) as last_page from t""")
 def toc_bounds(spark, d):
-    known = pages(spark, d).filter("book_key is not null").groupBy(F.col("book_key").alias("book"), "page_no").agg(F.count(F.lit(1)).alias("k"))
+    """Chapters by their headings, over all pages."""
+    known = pages(spark, d).filter("book_key is not null").select(F.col("book_key").alias("book"), "page_no", F.coalesce(F.col("text").rlike(_CHAPTER), F.lit(False)).alias("starts"))
     ends = known.groupBy("book").agg(F.max("page_no").alias("n"))
-    toc = known.filter("(page_no - 1) % 12 = 0").join(ends, "book").select("book", F.col("page_no").alias("start_page"), "n")
+    toc = known.filter("starts").select("book", F.col("page_no").alias("start_page")).distinct().join(ends, "book")
     bounds = chapters.chapter_bounds(toc, "book", "start_page", F.col("n"), F.lit(8))
     return bounds.select("book", *[F.col(c).cast("bigint") for c in ("start_page", "first_page", "last_page")])
 
 
-@query("""with p as (select distinct book_key as book, page_no from page_blocks where book_key is not null and (page_no - 1) % 6 = 0), c as (select *, (page_no - 1) // 24 as c from p)
+@query(rf"""with p as (select distinct book_key as book, page_no from page_blocks where book_key is not null and regexp_matches(text, '{_TOPIC}')), c as (select *, (page_no - 1) // 24 as c from p)
 select book, cast(c as bigint) as chapter, 'topic ' || page_no as title, cast(page_no + 8 as bigint) as first_page,
  cast(coalesce(lead(page_no) over (partition by book, c order by page_no), page_no) + 8 as bigint) as last_page from c""")
 def topic_bounds(spark, d):
-    topics = pages(spark, d).filter("book_key is not null and (page_no - 1) % 6 = 0").select(F.col("book_key").alias("book"), "page_no").distinct()
+    """Topics by headings and tables, over all pages."""
+    topics = pages(spark, d).filter(F.col("book_key").isNotNull() & F.col("text").rlike(_TOPIC)).select(F.col("book_key").alias("book"), "page_no").distinct()
     listed = F.array_sort(F.collect_list(F.struct(F.col("page_no").alias("start_page"), F.concat(F.lit("topic "), F.col("page_no").cast("string")).alias("title"))))
     grouped = topics.groupBy("book", F.floor((F.col("page_no") - 1) / 24).alias("chapter")).agg(listed.alias("topics"))
     each = grouped.select("book", "chapter", F.explode(chapters.topic_bounds(F.col("topics"), F.lit(8))).alias("t"))
@@ -126,10 +133,16 @@ def json_salvage(spark, d):
     return each.select("group_id", "f.form", F.get_json_object(nested.salvage_json(F.col("f.reply")), "$.a").alias("answer"))
 
 
-@query(f"select group_id, {sql_strip('authoritative_answer')} as bare from qna_groups where authoritative_answer is not null")
+@query(f"""select group_id, way, {sql_strip('authoritative_answer')} as bare from qna_groups, (values ('exact'), ('lines'), ('marks'), ('none')) v(way) where authoritative_answer is not null""")
 def fence_strip(spark, d):
-    fenced = F.concat(F.lit("```json\n"), text.strip(F.col("authoritative_answer")), F.lit("\n```"))
-    return groups(spark, d).filter("authoritative_answer is not null").select("group_id", text.strip_fence(fenced).alias("bare"))
+    """The three ways to take a fence off, each on the fences that it is for, and a text without one."""
+    bare = text.strip(F.col("authoritative_answer"))
+    form = lambda name, value: F.struct(F.lit(name).alias("way"), value.alias("bare"))
+    ways = F.array(
+        form("exact", text.strip(text.strip_fence(F.concat(F.lit("```json\n"), bare, F.lit("\n```"))))), form("lines", text.strip_fence_lines(F.concat(F.lit(" ```text any\n"), bare, F.lit("\n ``` ")))),
+        form("marks", text.strip(text.strip_fence_marks(F.concat(F.lit("```Json\n"), bare, F.lit("```"))))), form("none", text.strip_fence_marks(bare)),
+    )
+    return groups(spark, d).filter("authoritative_answer is not null").select("group_id", F.explode(ways).alias("w")).select("group_id", "w.way", "w.bare")
 
 
 @query("select group_id, len(alternative_questions) = 3 as complete, case when len(alternative_questions) = 3 then alternative_questions[2] end as second from qna_groups where alternative_questions is not null")
@@ -176,13 +189,32 @@ def chat_to_qa(spark, d):
     return generate.chat_pairs(rows.select("group_id", F.to_json(F.struct(both.alias("messages"))).alias("line")), "line", "group_id")
 
 
-@query(f"""with q as (select group_id, unnest(alternative_questions) as q, {sql_strip('authoritative_answer')} as a from qna_groups)
+@query(f"""with q as (select group_id, unnest(case when group_id % 4 = 1 then alternative_questions[1:1] when group_id % 4 = 2 then alternative_questions[1:2] else alternative_questions end) as q,
+{sql_strip('authoritative_answer')} as a from qna_groups)
 select cast(group_id as varchar) as key, {sql_strip('q')} as question, a as answer from q where {sql_strip('q')} <> '' and a <> ''""")
 def qna_flatten(spark, d):
-    group = F.struct("authoritative_answer", "alternative_questions")
-    body = F.concat(F.lit("```json\n"), F.to_json(F.struct(F.array(group).alias("qna_groups"))), F.lit("\n```"))
-    lines = groups(spark, d).select(nested.envelope(F.col("group_id").cast("string"), body).alias("line"))
-    return generate.flatten_replies(lines, "line")
+    """Batch results in the three shapes of groups, in turn, and every fourth under a root of another name; broken and failed lines beside them."""
+    asked, told = F.col("alternative_questions"), F.col("authoritative_answer")
+    whole = F.to_json(F.struct(F.array(F.struct("authoritative_answer", "alternative_questions")).alias("qna_groups")))
+    single = F.to_json(F.struct(F.array(F.struct(told.alias("answer"), F.get(asked, F.lit(0)).alias("question"))).alias("qna_groups")))
+    pair = lambda i: F.struct(F.get(asked, F.lit(i)).alias("question"), told.alias("answer"))
+    older = F.to_json(F.struct(F.array(F.struct(F.array(pair(0), pair(1)).alias("variations"))).alias("qna_groups")))
+    astray = F.to_json(F.struct(F.lit("n").alias("note"), F.array(F.struct("authoritative_answer", "alternative_questions")).alias("facts")))
+    kind = F.col("group_id") % 4
+    body = F.when(kind == 0, whole).when(kind == 1, single).when(kind == 2, older).otherwise(astray)
+    lines = groups(spark, d).select(nested.envelope(F.col("group_id").cast("string"), F.concat(F.lit("```json\n"), body, F.lit("\n```"))).alias("line"))
+    failed = groups(spark, d).select(F.to_json(F.struct(F.col("group_id").cast("string").alias("key"), F.lit("quota").alias("error"))).alias("line"))
+    broken = groups(spark, d).select(nested.envelope(F.col("group_id").cast("string"), F.lit("{\"qna_groups\": [")).alias("line"))
+    return generate.flatten_replies(lines.unionByName(failed).unionByName(broken), "line")
+
+
+@query(f"""select group_id, cast(i as bigint) as at, case when i % 2 = 0 then 'text' else 'image' end as kind,
+case i when 0 then q when 1 then '![a]({_PNG})' when 2 then 'middle' else '![b]({_PNG})' end as body
+from (select group_id, coalesce(exact_source_quote, '') as q from qna_groups), unnest(range(0, 4)) r(i) where {sql_strip('q')} <> '' or i > 0""".replace("cast(i as bigint) as at", f"cast(case when {sql_strip('q')} = '' then i - 1 else i end as bigint) as at"))
+def figure_segments(spark, d):
+    source = F.concat(F.coalesce("exact_source_quote", F.lit("")), F.lit(f"![a]({_PNG})middle![b]({_PNG}) "))
+    each = groups(spark, d).select("group_id", F.posexplode(nested.split_segments(source)).alias("at", "s"))
+    return each.select("group_id", F.col("at").cast("bigint"), "s.kind", "s.body")
 
 
 @query("select group_id, coalesce(authoritative_answer, '') as text from qna_groups")
@@ -247,14 +279,15 @@ def batch_requests(spark, d):
     return made.select(F.replace(get("$.custom_id"), F.lit("chunk_"), F.lit("")).alias("chunk"), get("$.url").alias("url"), get("$.body.contents[0].parts[0].text").alias("prompt"))
 
 
-@query("""select chunk_key as conversation, count(*) as turns, md5(string_agg(case when group_id % 2 = 0 then 'user' else 'assistant' end || ': ' || coalesce(authoritative_answer, ''), chr(10) order by group_id)) as history_hash
-from qna_groups where chunk_key is not null group by 1""")
+@query("""with t as (select *, (row_number() over (partition by chunk_key order by group_id, model_version) - 1) // 100 as part from qna_groups where chunk_key is not null)
+select chunk_key as conversation, cast(part as bigint) as part, count(*) as turns, md5(string_agg(case when group_id % 2 = 0 then 'user' else 'assistant' end || ': ' || coalesce(authoritative_answer, ''), chr(10) order by group_id)) as history_hash
+from t group by 1, 2""")
 def transcripts(spark, d):
     turns = groups(spark, d).filter("chunk_key is not null").select(
         F.col("chunk_key").alias("conversation"), F.col("group_id").alias("turn"), F.when(F.col("group_id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.col("authoritative_answer").alias("said")
     )
-    found = evaluate.transcripts(turns, "conversation", "turn", "role", "said")
-    return found.select("conversation", F.col("turns").cast("bigint"), F.md5("history").alias("history_hash"))
+    found = evaluate.transcripts(turns, "conversation", "turn", "role", "said", per_part=100)
+    return found.select("conversation", F.col("part").cast("bigint"), F.col("turns").cast("bigint"), F.md5("history").alias("history_hash"))
 
 
 @query("""with g as (select chunk_key, cast(length(coalesce(authoritative_answer, '')) % 101 as double) as a, cast(len(coalesce(alternative_questions, [])) * 30 as double) as r from qna_groups where chunk_key is not null),
@@ -281,10 +314,14 @@ def token_windows(spark, d):
     return each.select("doc_id", F.col("window_no").cast("bigint"), F.col("b.start").cast("bigint").alias("start"), F.col("b.length").cast("bigint").alias("length"))
 
 
-@query()
+@query(r"""with recursive t as (select coalesce(site_id, '') as shard, doc_id, least(len(list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '')) + 1, 511) as n from documents),
+o as (select shard, n, row_number() over (partition by shard order by doc_id) as i from t where n > 1),
+p as (select shard, i, n, n as used, 0 as block from o where i = 1 union all
+ select o.shard, o.i, o.n, case when p.used + o.n > 511 then o.n else p.used + o.n end, case when p.used + o.n > 511 then p.block + 1 else p.block end from p join o on o.shard = p.shard and o.i = p.i + 1)
+select shard, cast(block as bigint) as block, count(*) as documents, cast(sum(n) as bigint) as tokens from p group by 1, 2""")
 def token_pack(spark, d):
     counted = table(spark, d, "documents").select(F.coalesce("site_id", F.lit("")).alias("shard"), "doc_id", F.size(windows.blank_tokens(F.col("text"))).alias("n"))
-    packed = windows.pack_in_order(counted, "shard", "doc_id", "n", 512)
+    packed = windows.pack_in_order(counted, "shard", "doc_id", "n", 512, stretch=500)
     return packed.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("documents"), F.sum("length").alias("tokens"))
 
 
@@ -304,6 +341,31 @@ def repair_totals(spark, d):
     return table_repair(spark, d).agg(*[F.sum(c).alias(c) for c in tables.STATS])
 
 
+@query("""select group_id, '__VIEWSTATE' as name, 'state ' || group_id as value from qna_groups union all select group_id, 'ctl$day', case when group_id % 31 + 1 < 10 then '0' else '' end || (group_id % 31 + 1) from qna_groups
+union all select group_id, '__EVENTTARGET', 'ctl$day' from qna_groups union all select group_id, '__EVENTARGUMENT', '' from qna_groups""")
+def form_posts(spark, d):
+    """What is posted to a form of one page: its own state, the control, and the option of the wanted day."""
+    options = "".join(f"<option value='{i:02d}'>Day {i}</option>" for i in range(1, 32))
+    page = F.concat(F.lit("<form><input type=hidden name='__VIEWSTATE' value='state "), F.col("group_id").cast("string"), F.lit(f"'><input name='__EVENTTARGET' value=''><select name='ctl$DAY'>{options}</select></form>"))
+    read = groups(spark, d).select("group_id", html.form_state(page).alias("f"))
+    day = F.concat(F.lit("0"), (F.col("group_id") % 31 + 1).cast("string"))
+    value = nested.choose_option(F.transform(html.select_named(F.col("f.options"), "day"), lambda o: F.struct(o["value"].alias("value"), F.concat(o["value"], F.lit(".")).alias("text"))), F.right(day, F.lit(2)))
+    post = html.form_post(F.col("f.fields"), F.lit("ctl$day"), F.create_map(F.lit("ctl$day"), value))
+    return read.select("group_id", F.explode(post).alias("name", "value"))
+
+
+@query("""with c as (select chunk_key, round(sum(cast(length(coalesce(authoritative_answer, '')) % 101 as double)) / count(*), 2) as a from qna_groups where chunk_key is not null group by 1)
+select cast(1 as bigint) as line_no, '# Grades' as line union all select 2, '' union all select 3, '| chunk_key | accuracy |' union all select 4, '|---|---|'
+union all select 4 + row_number() over (order by chunk_key), '| ' || chunk_key || ' | ' || printf('%.2f', a) || ' |' from c""")
+def report_lines(spark, d):
+    grades = groups(spark, d).filter("chunk_key is not null").select("chunk_key", (F.length(F.coalesce("authoritative_answer", F.lit(""))) % 101).cast("double").alias("accuracy"))
+    return evaluate.report_lines(evaluate.chapter_means(grades, "chunk_key", ["accuracy"]), "chunk_key", ["accuracy"], "Grades")
+
+
+@query("select group_id from qna_groups where not contains(lower(coalesce(exact_source_quote, '')), 'reference')")
+def evaluated_chapters(spark, d):
+    return quality.evaluated(groups(spark, d), "exact_source_quote").select("group_id")
+
 def web_pages(spark, d):
     body = F.concat(
         F.lit("<html><body><p>Outside the form, and long enough to count</p><form name='aspnetForm'><script>var x = '<p>no</p>';</script><p>Release "), F.col("group_id").cast("string"),

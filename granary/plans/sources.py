@@ -1,50 +1,139 @@
-"""Queries that read through sources and streams."""
+"""Queries that read and write through sources, sinks and streams."""
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
-from granary.plans.registry import query
-from granary.session import materialize, shared_dir, table
-from granary.sources.files import read_csv
-from granary.sources.paged import PagedCsv
-from granary.streaming.dedup import clean_stream, read_stream, run_available
+from granary.functions.text import clean_chapter
+from granary.operators.ids import with_row_ids
+from granary.plans.calls import _CLEANED
+from granary.plans.registry import query, sql_english
+from granary.session import materialize, shared_dir, shared_path, table
+from granary.sources import files
+from granary.sources.paged import PageCheckpoint, PagedCsv, harvest, harvested
+from granary.streaming.dedup import clean_stream, number_batches, read_stream, run_available
 
+LIMIT = 1000
+PAGE = "call_id string, querytext string, crop string"
+_PAGED = "select cast(call_id as varchar) as call_id, coalesce(querytext, '') as querytext, coalesce(crop, '') as crop from kcc_calls"
 
-def _as_csv(spark, d) -> str:
-    """The canonical terms written as CSV: a fixed, small table with breaks put into its fields."""
-    import csv
-    import uuid
 
-    rows = table(spark, d, "canonical_terms").select("term_id", "term", "kind").orderBy("term_id").collect()
-    path = f"{shared_dir(spark).removeprefix('file://')}/granary-terms-{uuid.uuid4().hex}.csv"
-    with open(path, "w", newline="", encoding="utf-8") as out:
-        csv.writer(out).writerows([["term_id", "term", "kind"], *[[r["term_id"], r["term"].replace(" ", "\n"), r["kind"]] for r in rows]])
+def _pages(spark, d) -> str:
+    """The call records as a paged service would give them: CSV pages of LIMIT rows, written by Spark."""
+    numbered = with_row_ids(table(spark, d, "kcc_calls").select("call_id", "querytext", "crop"), ["call_id"], "at", start=0)
+    path = shared_path(spark, "pages")
+    kept = {"header": True, "quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    paged = numbered.withColumn("page", F.floor(F.col("at") / LIMIT)).repartition("page").sortWithinPartitions("page", "at").drop("at")
+    paged.write.partitionBy("page").options(**kept).csv(path)
     return path
 
 
-@query("select cast(term_id as varchar) as term_id, replace(term, ' ', chr(10)) as term, kind from canonical_terms")
+def _filled(df):
+    return df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in df.columns])
+
+
+@query(_PAGED)
 def paged_source(spark, d):
     spark.dataSource.register(PagedCsv)
-    total = table(spark, d, "canonical_terms").count()
-    return spark.read.format("paged_csv").schema("term_id string, term string, kind string").options(path=_as_csv(spark, d), total=total, limit=20).load()
+    options = {"server": "granary.sources.paged.PageFolder", "path": _pages(spark, d), "total": table(spark, d, "kcc_calls").count(), "limit": LIMIT}
+    return _filled(spark.read.format("paged_csv").schema(PAGE).options(**options).load())
+
 
+@query(_PAGED.replace(" from", f", cast((row_number() over (order by call_id) - 1) // {5 * LIMIT} as bigint) as batch from"))
+def harvest_pages(spark, d):
+    """The service harvested five pages at a time, up to its short page, with a checkpoint behind each batch."""
+    where = shared_path(spark, "harvest")
+    options = {"server": "granary.sources.paged.PageFolder", "path": _pages(spark, d), "limit": LIMIT}
+    harvest(spark, options, PAGE, f"{where}/rows", PageCheckpoint(spark, f"{where}/state.json", "calls"), pages=5)
+    return harvested(spark, f"{where}/rows").select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("call_id", "querytext", "crop")], F.col("batch").cast("bigint"))
 
-@query("select count(*) as records from canonical_terms")
+
+@query(_PAGED)
+def paged_stream(spark, d):
+    """The service as a stream whose total is known: every page is read by a task of its own."""
+    spark.dataSource.register(PagedCsv)
+    where = shared_path(spark, "paged")
+    options = {"server": "granary.sources.paged.PageFolder", "path": _pages(spark, d), "total": table(spark, d, "kcc_calls").count(), "limit": LIMIT}
+    run_available(spark.readStream.format("paged_csv").schema(PAGE).options(**options).load(), f"{where}/out", f"{where}/state")
+    return _filled(spark.read.schema(PAGE).parquet(f"{where}/out"))
+
+
+@query("select count(*) as records from kcc_calls")
 def csv_record_count(spark, d):
-    return read_csv(spark, _as_csv(spark, d), ["term_id", "term"]).agg(F.count(F.lit(1)).alias("records"))
+    path = shared_path(spark, "csv")
+    files.write_csv(table(spark, d, "kcc_calls").select("call_id", "querytext", "kccans"), path)
+    return files.read_csv(spark, path, ["call_id", "querytext"]).agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("select cast(call_id as varchar) as call_id, coalesce(querytext, '') as querytext, false as header_only from kcc_calls union all select '', '', true")
+def csv_sink(spark, d):
+    """Call texts written as CSV and read again; and a table without rows, which leaves its header."""
+    full, empty = shared_path(spark, "csv"), shared_path(spark, "csv")
+    rows = table(spark, d, "kcc_calls").select(F.col("call_id").cast("string"), "querytext")
+    files.write_csv(rows, full)
+    files.write_csv(rows.filter("false"), empty)
+    head = spark.read.text(empty).filter(F.col("value") == '"call_id","querytext"').select(F.lit("").alias("call_id"), F.lit("").alias("querytext"), F.lit(True).alias("header_only"))
+    return _filled(files.read_csv(spark, full)).withColumn("header_only", F.lit(False)).unionByName(head.limit(1))
 
 
-@query()
+@query(f"""with n as (select row_number() over (order by call_id) as i from kcc_calls), b as (select (i - 1) // {LIMIT} + 1 as batch_no, min(i) as a, max(i) as z, count(*) as n from n group by 1)
+select cast(batch_no as bigint) as batch_no, cast(a as bigint) as first_row, cast(z as bigint) as last_row, n as n_rows, 'Batch ' || batch_no || ' Range (' || a || ' - ' || z || ').csv' as name, n as written from b""")
+def batch_files(spark, d):
+    path = shared_path(spark, "batches")
+    named = files.write_batches(table(spark, d, "kcc_calls").select("call_id", "querytext"), ["call_id"], path, LIMIT)
+    written = spark.read.csv(path, header=True, multiLine=True, escape='"').groupBy(F.col("batch").cast("bigint").alias("batch_no")).agg(F.count(F.lit(1)).alias("written"))
+    return named.join(written, "batch_no").select("batch_no", F.col("first_row").cast("bigint"), F.col("last_row").cast("bigint"), "n_rows", "name", "written")
+
+
+@query("""select book_key as book, cast(page_no as bigint) as page, text from page_blocks where text is not null and book_key is not null and not contains(text, chr(12))
+qualify row_number() over (partition by book_key, page_no order by block_id) = 1""")
+def page_loader(spark, d):
+    """Books written as one file each, form feeds between their pages, and loaded page by page; a page that lacks is an empty one."""
+    once = table(spark, d, "page_blocks").filter("text is not null and book_key is not null and not contains(text, '\f')")
+    once = once.groupBy("book_key", "page_no").agg(F.min(F.struct("block_id", "text")).alias("first")).select("book_key", "page_no", F.col("first.text").alias("text"))
+    by_page = once.groupBy("book_key").agg(F.map_from_entries(F.collect_list(F.struct("page_no", "text"))).alias("texts"), F.max("page_no").alias("last"))
+    in_order = F.transform(F.sequence(F.lit(1), F.col("last")), lambda i: F.coalesce(F.try_element_at("texts", i), F.lit("")))
+    books = by_page.select("book_key", F.array_join(in_order, "\f").alias("value"))
+    path = shared_path(spark, "books")
+    books.select("value", "book_key").write.partitionBy("book_key").option("lineSep", "\f\f").text(path)
+    loaded = files.load_pages(spark, path)
+    book = F.regexp_extract("path", "book_key=([^/]+)/", 1)
+    return loaded.select(book.alias("book"), F.col("page").cast("bigint"), "text").join(once.select(F.col("book_key").alias("book"), F.col("page_no").cast("bigint").alias("page")), ["book", "page"]).select("book", "page", "text")
+
+
+@query("""select cast(group_id as varchar) as key, 'old' as version, coalesce(exact_source_quote, '') || chr(10) || chr(10) || chr(10) || chr(10) || 'end' as text from qna_groups
+union all select cast(group_id as varchar), 'new', trim(coalesce(exact_source_quote, '') || chr(10) || chr(10) || 'end', ' ' || chr(10) || chr(9)) from qna_groups""")
+def chapter_files(spark, d):
+    """Chapters in JSON files cleaned in place, with what they were kept beside them."""
+    path = shared_path(spark, "chapters")
+    schema = "key string, text string"
+    quoted = F.concat(F.coalesce("exact_source_quote", F.lit("")), F.lit("\n\n\n\nend"))
+    table(spark, d, "qna_groups").select(F.col("group_id").cast("string").alias("key"), quoted.alias("text")).write.json(f"{path}/all")
+    new = files.rewrite_chapters(spark, f"{path}/all", lambda df: df.withColumn("text", clean_chapter(F.col("text"))), schema)
+    old = spark.read.schema(schema).json(f"{path}/all.before")
+    return old.withColumn("version", F.lit("old")).unionByName(new.withColumn("version", F.lit("new")))
+
+
+@query(f"select distinct question, 1 as n from ({_CLEANED}) where {sql_english('answer')}")
 def stream_dedup(spark, d):
     """The stream's questions and how often each came; each comes once, whichever call it came with."""
-    import uuid
-
     calls = table(spark, d, "kcc_calls").select("call_id", "querytext", "kccans")
     written = materialize(calls, "arrivals")
     where = f"{shared_dir(spark)}/granary-stream-{uuid.uuid4().hex}"
     source = os.path.dirname(written.inputFiles()[0])
     run_available(clean_stream(read_stream(spark, source, written.schema, files=4)), f"{where}/out", f"{where}/state")
-    return spark.read.parquet(f"{where}/out").groupBy("question").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(f"{where}/out").groupBy("question").agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@query("select count(*) as n, cast(min(id) as bigint) as first_id, cast(max(id) as bigint) as last_id, count(distinct id) as ids from (select row_number() over (order by call_id) as id from kcc_calls)")
+def stream_ids(spark, d):
+    """Running ids over the batches of a stream."""
+    written = materialize(table(spark, d, "kcc_calls").select("call_id").repartition(4), "arrivals")
+    where = shared_path(spark, "ids")
+    stream = read_stream(spark, os.path.dirname(written.inputFiles()[0]), written.schema, files=2)
+    number_batches(stream, ["call_id"], f"{where}/out", f"{where}/state")
+    found = spark.read.option("basePath", f"{where}/out").parquet(f"{where}/out")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.min("id").cast("bigint").alias("first_id"), F.max("id").cast("bigint").alias("last_id"), F.count_distinct("id").alias("ids"))

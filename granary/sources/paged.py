@@ -1,7 +1,7 @@
 """A paged CSV service as a Spark data source, one input partition for each page.
 
-`page(offset, limit)` of a page server gives CSV text with a header; a short page ends the data. The server of tests and
-of this module serves a CSV file; another one is passed by its import path.
+`page(offset, limit)` of a page server gives CSV text with a header; a short page ends the data. The servers of this module
+serve a CSV file, or a folder with a file for each page; another one is passed by its import path.
 """
 
 from __future__ import annotations
@@ -10,13 +10,17 @@ import csv
 import importlib
 import io
 import json
-import os
 import time
 from collections.abc import Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.errors import PySparkNotImplementedError
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition, SimpleDataSourceStreamReader
 from pyspark.sql.types import StructType
 
+from granary.sources.files import get_text, put_text
+
 
 class FileServer:
     """Serves the records of a CSV file in pages."""
@@ -32,6 +36,28 @@ class FileServer:
         return out.getvalue()
 
 
+class PageFolder:
+    """Serves pages that lie below page=n, all of the size that is asked for; any file system that pyarrow knows."""
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+    def page(self, offset: int, limit: int) -> str:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(self.path)
+        where = f"{root}/page={offset // limit}"
+        if system.get_file_info(where).type != fs.FileType.Directory:
+            return ""
+        files = sorted(f.path for f in system.get_file_info(fs.FileSelector(where)) if f.base_name.endswith(".csv"))
+        out = []
+        for i, name in enumerate(files):
+            with system.open_input_stream(name) as data:
+                text = data.readall().decode()
+            out.append(text if i == 0 else text.partition("\n")[2])
+        return "".join(out)
+
+
 def records_of(page: str) -> list[list[str]]:
     """The records of a page: quoted breaks belong to a record, blank rows and the header do not count."""
     rows = [r for r in csv.reader(io.StringIO(page)) if any(c.strip() for c in r)]
@@ -87,8 +113,10 @@ class _StreamReader(SimpleDataSourceStreamReader):
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         limit = int(self.options.get("limit", 5000))
+        if start.get("done"):
+            return iter([]), start
         rows = fetch(server_of(self.options), start["offset"], limit)
-        end = {"offset": start["offset"] + limit} if rows else start
+        end = {"offset": start["offset"] + limit, "done": len(rows) < limit}
         return iter([tuple((r + [None] * self.width)[: self.width]) for r in rows]), end
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
@@ -99,8 +127,29 @@ class _StreamReader(SimpleDataSourceStreamReader):
                 yield tuple((row + [None] * self.width)[: self.width])
 
 
+class _PagesStreamReader(DataSourceStreamReader):
+    """All pages up to a known total, each read by a task of its own."""
+
+    def __init__(self, schema: StructType, options) -> None:
+        self.batch = _Reader(schema, options)
+
+    def initialOffset(self) -> dict:
+        return {"offset": int(self.batch.options.get("offset", 0))}
+
+    def latestOffset(self) -> dict:
+        return {"offset": int(self.batch.options["total"])}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        limit = int(self.batch.options.get("limit", 5000))
+        return [_Page(at, limit) for at in range(start["offset"], end["offset"], limit)]
+
+    def read(self, partition: _Page) -> Iterator[tuple]:
+        return self.batch.read(partition)
+
+
 class PagedCsv(DataSource):
-    """spark.read.format("paged_csv").schema(...).options(path=, total=, limit=).load()"""
+    """spark.read.format("paged_csv").schema(...).options(path=, total=, limit=).load(); as a stream the total may be unknown,
+    and one page is then read at a time until a short one comes."""
 
     @classmethod
     def name(cls) -> str:
@@ -112,6 +161,11 @@ class PagedCsv(DataSource):
     def reader(self, schema: StructType) -> DataSourceReader:
         return _Reader(schema, self.options)
 
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+        if "total" not in self.options:
+            raise PySparkNotImplementedError(errorClass="NOT_IMPLEMENTED", messageParameters={"feature": "streamReader"})
+        return _PagesStreamReader(schema, self.options)
+
     def simpleStreamReader(self, schema: StructType) -> SimpleDataSourceStreamReader:
         return _StreamReader(schema, self.options)
 
@@ -121,14 +175,11 @@ class PageCheckpoint:
 
     DEFAULTS = {"next_offset": 0, "rows": 0, "dataset": None, "done": False}
 
-    def __init__(self, path: str, dataset: str) -> None:
-        self.path, self.dataset = path, dataset
+    def __init__(self, spark: SparkSession, path: str, dataset: str) -> None:
+        self.spark, self.path, self.dataset = spark, path, dataset
 
     def load(self) -> dict:
-        state = dict(self.DEFAULTS)
-        if os.path.exists(self.path):
-            with open(self.path, encoding="utf-8") as lines:
-                state |= json.load(lines)
+        state = dict(self.DEFAULTS) | json.loads(get_text(self.spark, self.path) or "{}")
         if state["dataset"] not in (None, self.dataset):
             raise ValueError(f"checkpoint of {state['dataset']}, not of {self.dataset}")
         return state | {"dataset": self.dataset}
@@ -136,10 +187,26 @@ class PageCheckpoint:
     def advance(self, state: dict, asked: int, got: int) -> dict:
         """After a page: the offset grows by what was asked for; a short page ends the data."""
         state = state | {"next_offset": state["next_offset"] + asked, "rows": state["rows"] + got, "done": got < asked}
-        temporary = f"{self.path}.tmp"
-        with open(temporary, "w", encoding="utf-8") as out:
-            json.dump(state, out)
-            out.flush()
-            os.fsync(out.fileno())
-        os.replace(temporary, self.path)
+        put_text(self.spark, self.path, json.dumps(state))
         return state
+
+
+def harvest(spark: SparkSession, options: dict[str, str], schema: str, path: str, checkpoint: PageCheckpoint, pages: int = 100) -> dict:
+    """All pages of a service appended to a table below batch=n, `pages` at a time and read in parallel, until a short page.
+
+    After each batch the checkpoint moves on, and a run that is started again goes on behind it; a batch that was written and
+    not yet noted is written again in its place.
+    """
+    spark.dataSource.register(PagedCsv)
+    state, limit = checkpoint.load(), int(options.get("limit", 5000))
+    while not state["done"]:
+        asked = pages * limit
+        read = spark.read.format("paged_csv").schema(schema).options(**options, offset=state["next_offset"], total=state["next_offset"] + asked).load()
+        where = f"{path}/batch={state['next_offset'] // asked}"
+        read.write.mode("overwrite").parquet(where)
+        state = checkpoint.advance(state, asked, spark.read.parquet(where).count())
+    return state
+
+
+def harvested(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(path).withColumn("batch", F.col("batch").cast("int"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from granary.functions.text import clean_text, is_english
+from granary.operators.ids import with_row_ids
 
 
 def read_stream(spark: SparkSession, path: str, schema, files: int = 1) -> DataFrame:
@@ -33,6 +34,22 @@ def run_available(df: DataFrame, path: str, checkpoint: str, partition_by: list[
     return query
 
 
+def number_batches(df: DataFrame, order: list[str], path: str, checkpoint: str) -> StreamingQuery:
+    """All that is there now, numbered on from the last id of the table in the given order within a batch, below batch=n.
+
+    A batch's ids follow from the rows of the batches before it, so one that is tried again gets the same.
+    """
+    spark = df.sparkSession
+
+    def add(rows: DataFrame, batch: int) -> None:
+        before = spark.read.option("basePath", path).parquet(path).filter(F.col("batch") < batch).count() if batch else 0
+        with_row_ids(rows, order, "id", start=before + 1).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    query = df.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def month_bundles(df: DataFrame, time: str) -> DataFrame:
     """`df` with (year, month) to partition a sink by."""
     return df.withColumns({"year": F.year(time), "month": F.month(time)})

@@ -6,8 +6,9 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from granary.functions import nested, tables
-from granary.models.clients import StubClient, call, complete, noise_decision, provider_of
-from granary.operators import chapters, clean, dedup, generate, normalize, quality, rules, sampling, windows
+from granary.models import tasks
+from granary.models.clients import HttpClient, StubClient, call, complete, filter_noise, provider_of
+from granary.operators import chapters, clean, dedup, evaluate, generate, normalize, quality, rules, sampling, windows
 from granary.operators.ids import with_row_ids
 
 
@@ -157,8 +158,89 @@ def test_models(spark):
     assert provider_of("small:4b") == "ollama" and provider_of("large") == "google"
     df = spark.createDataFrame([("1", "a\nb"), ("2", None)], "k string, p string")
     assert [tuple(r) for r in complete(df, "k", F.col("p"), StubClient).orderBy("key").collect()] == [("1", "Reply: b", "ok"), ("2", "Reply: ", "ok")]
-    kept = spark.createDataFrame([("Market rate of rice",), ("pests",), (None,)], "q string").select(noise_decision(F.col("q"))).collect()
-    assert [r[0] for r in kept] == ["DISCARD", "KEEP", "KEEP"]
+    asked = spark.createDataFrame([(1, "Market\nrate of rice"), (2, "pests"), (3, None)], "k int, q string")
+    assert [tuple(r) for r in filter_noise(asked, "k", F.col("q")).orderBy("key").collect()] == [("1", "DISCARD"), ("2", "KEEP"), ("3", "KEEP")]
+    assert {r["decision"] for r in filter_noise(asked, "k", F.col("q"), Broken).collect()} == {"KEEP"}
+
+
+class Broken:
+    def complete(self, prompt):
+        raise OSError("400")
+
+
+class Echo:
+    """Replies with what the prompt ends with."""
+
+    def complete(self, prompt):
+        return prompt.rpartition("\n")[2]
+
+
+def test_providers():
+    seen = []
+    replies = {"google": {"candidates": [{"content": {"parts": [{"text": "hi"}]}}]}, "anthropic": {"content": [{"text": "hi"}]}, "ollama": {"response": "hi"}}
+    for provider in ("google", "openai", "anthropic", "nvidia", "vllm", "ollama"):
+        client = HttpClient("m", provider, "k", send=lambda url, headers, body, p=provider: seen.append((url, headers, body)) or replies.get(p, {"choices": [{"message": {"content": "hi"}}]}))
+        assert client.complete("ask") == "hi" and "ask" in str(seen[-1][2])
+    assert len({url for url, _, _ in seen}) == 6 and provider_of("a:1") == "ollama"
+
+
+def test_model_tasks_have_defaults(spark):
+    df = spark.createDataFrame([("a", ["x", None, "y"]), ("b", []), ("c", None)], "k string, images array<string>")
+    assert {r["key"]: r["captions"] for r in tasks.caption_images(df, "k", "images", Broken).collect()} == {"a": ["", "", ""], "b": [], "c": []}
+    assert {r["key"]: r["captions"] for r in tasks.caption_images(df, "k", "images", Echo).collect()}["a"] == ["", "", ""]
+    pairs = spark.createDataFrame([("1", "s", '{"verdict": "PASS"}'), ("2", "s", "prose"), ("3", None, None)], "k string, s string, o string")
+    got = {r["key"]: (r["status"], r["verdict"]) for r in tasks.verdicts(pairs, "k", F.col("s"), F.col("o"), Echo).collect()}
+    assert got["1"] == ("ok", '{"verdict": "PASS"}') and got["2"] == got["3"] == ("unreadable", None)
+    assert tasks.verdicts(pairs, "k", F.col("s"), F.col("o"), Broken).filter("status = 'failed: OSError' and verdict is null").count() == 3
+    samples = spark.createDataFrame([("f", ["sir q"]), ("g", None)], "k string, q array<string>")
+    assert {(r["batch_file"], r["prefixes"]) for r in tasks.discover_rules(samples, "k", "q", Broken).collect()} == {("f", None), ("g", None)}
+    chapters_ = spark.createDataFrame([("one", None)], "c string, t string")
+    exam = tasks.exam(chapters_, "c", "t", str, Broken, Broken).first()
+    assert (exam["accuracy"], exam["fluency"], exam["retention"], exam["answer"]) == (70, 80, 70, None) and "one" in exam["question"]
+    book = tasks.dialogue(chapters_, "c", "t", Broken, Echo, turns=2, whole_book=True).first()
+    assert (book["accuracy"], book["fluency"], book["depth"]) == (80, 85, 80) and len(book["transcript"]) == 4
+    assert tasks.exam(chapters_.limit(0), "c", "t", str, Broken, Broken).count() == 0
+
+
+def test_reply_lists_under_any_key(spark):
+    rows = ['{"a": 1, "x": [{"n": 1}], "y": []}', '{"qna_groups": [], "x": [1]}', '{"a": {}}', "no json", None]
+    got = [r[0] for r in spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, r string").orderBy("i").select(nested.groups_json(F.col("r"))).collect()]
+    assert got == ['[{"n":1}]', "[]", None, None, None]
+
+
+def test_packing_by_stretches_equals_one_pass(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice("aab"), i, rng.choice([0, 1, 3, 9, 20, 40])) for i in range(400)]
+    df = spark.createDataFrame(rows, "shard string, ord long, n long")
+    want = {}
+    for shard in "ab":
+        used = block = 0
+        for s, i, n in rows:
+            if s == shard and n:
+                size = min(n + 1, 30)
+                if used and used + size > 30:
+                    used, block = 0, block + 1
+                used += size
+                want[i] = block
+    assert {r["ord"]: r["block"] for r in windows.pack_in_order(df, "shard", "ord", "n", 31, stretch=37).collect()} == want
+
+
+def test_training_steps():
+    assert windows.training_steps(1000, 2, 4, 1, 0.1, 10) == {"batch_size": 2, "accumulation": 4, "steps": 125, "warmup_steps": 12, "logging_steps": 10}
+    small = windows.training_steps(5, 4, 4, 2, 0.03, 10)
+    assert small["batch_size"] == small["accumulation"] == 1 and small["steps"] == 10 and small["warmup_steps"] == 1 and small["logging_steps"] == 2
+
+
+def test_transcripts_in_parts(spark):
+    turns = spark.createDataFrame([("h", i, "user" if i % 2 else "model", None if i == 3 else f"t{i}") for i in range(7)] + [("k", 1, "user", "only")], "c string, n int, r string, t string")
+    got = {(r["c"], r["part"]): (r["turns"], r["history"]) for r in evaluate.transcripts(turns, "c", "n", "r", "t", per_part=3).collect()}
+    assert got == {("h", 0): (3, "model: t0\nuser: t1\nmodel: t2"), ("h", 1): (3, "user: \nmodel: t4\nuser: t5"), ("h", 2): (1, "model: t6"), ("k", 0): (1, "user: only")}
+
+
+def test_decisions_are_written_once(spark, tmp_path):
+    df = spark.createDataFrame([("a",), ("b",)], "q string")
+    assert quality.split_decisions(df, F.lit("KEEP"), str(tmp_path / "d")) and not quality.split_decisions(df, F.lit("DISCARD"), str(tmp_path / "d"))
+    assert sorted(x.name for x in (tmp_path / "d").glob("decision=*")) == ["decision=KEEP"]
 
 
 def test_table_blocks():
