@@ -8,8 +8,10 @@ length. The driver only sees the histogram, which the capacity bounds.
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -171,17 +173,17 @@ def pack_items(items: DataFrame) -> DataFrame:
     histograms: dict[tuple[int, int], dict[int, int]] = {}
     for row in counts:
         histograms.setdefault((row["plan_id"], row["capacity"]), {})[row["size"]] = row["n"]
-    slots = []
+    # (first rank, container, position, unused) of the ranges of each length, by rising rank; bounded by lengths and configurations.
+    slots: dict[tuple[int, int], list[tuple[int, int, int, int]]] = {}
     for (plan, capacity), histogram in sorted(histograms.items()):
         container, placed = 1, dict.fromkeys(histogram, 1)
         for lengths, times in fill_containers(histogram, capacity):
             unused = capacity - sum(lengths)
             for position, size in enumerate(lengths, 1):
-                slots.append((plan, size, placed[size], placed[size] + times - 1, container, position, unused))
+                slots.setdefault((plan, size), []).append((placed[size], container, position, unused))
                 placed[size] += times
             container += times
-    slot_schema = "plan_id bigint, size bigint, first bigint, last bigint, container bigint, position int, unused bigint"
-    table = F.broadcast(spark.createDataFrame(slots, slot_schema))
+    shared = spark.sparkContext.broadcast({k: np.array(v, dtype=np.int64).T for k, v in slots.items()})
     blocked = items.select(F.col("plan_id").cast("bigint").alias("plan_id"), "size", "doc_id", "piece", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BLOCKS)).alias("block"))
     blocks = blocked.groupBy("plan_id", "size", "block").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("plan_id", "size").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -189,10 +191,25 @@ def pack_items(items: DataFrame) -> DataFrame:
     within = Window.partitionBy("plan_id", "size", "block").orderBy("doc_id", "piece")
     ranked = blocked.withColumn("in_block", F.row_number().over(within)).join(offsets, ["plan_id", "size", "block"])
     ranked = ranked.withColumn("rank", F.col("in_block") + F.col("offset"))
-    return (
-        ranked.join(table, ["plan_id", "size"]).filter((F.col("rank") >= F.col("first")) & (F.col("rank") <= F.col("last")))
-        .select("plan_id", (F.col("container") + F.col("rank") - F.col("first")).alias("container_no"), "position", "doc_id", "piece", "size", "unused")
-    )
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            plan, size, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            out = np.zeros((3, len(rank)), dtype=np.int64)
+            lengths, group = np.unique(np.stack([plan, size]), axis=1, return_inverse=True)
+            order = np.argsort(group, kind="stable")
+            for k, rows in enumerate(np.split(order, np.cumsum(np.bincount(group, minlength=lengths.shape[1]))[:-1])):
+                first, container, position, unused = held[int(lengths[0, k]), int(lengths[1, k])]
+                at = np.searchsorted(first, rank[rows], side="right") - 1
+                out[:, rows] = container[at] + rank[rows] - first[at], position[at], unused[at]
+            columns = [batch.column(0), pa.array(out[0]), pa.array(out[1].astype(np.int32)), batch.column(3), batch.column(4), batch.column(1), pa.array(out[2])]
+            yield pa.RecordBatch.from_arrays(columns, names=["plan_id", "container_no", "position", "doc_id", "piece", "size", "unused"])
+
+    placed_rows = ranked.select("plan_id", F.col("size").cast("bigint"), F.col("rank").cast("bigint"), "doc_id", "piece")
+    return placed_rows.mapInArrow(place, "plan_id bigint, container_no bigint, position int, doc_id bigint, piece bigint, size bigint, unused bigint")
 
 
 def pack_documents(documents: DataFrame, plans: DataFrame) -> DataFrame:
