@@ -37,7 +37,7 @@ GROUPS = 4
 SKETCH = 16
 #: Classes of one band key that one task compares; larger keys are split by a second word that both texts must share.
 SPLIT = 4096
-INDEX = "band_key bigint, first_call bigint, anchors bigint, content string, signature array<int>, bucket int"
+INDEX = "band_key bigint, first_call bigint, anchors bigint, content string, signature binary, bucket int"
 
 #: Courtesies, remarks and small words that don't change a question.
 FILLERS = frozenset(
@@ -230,9 +230,13 @@ def second_keys(band_key: int, content: str) -> list[int]:
     return [signed(xxhash.xxh64_intdigest(repr((band_key, pair)))) for pair in dict.fromkeys(pairs)]
 
 
-def sketch(content: str) -> list[int]:
-    """The signature: the SKETCH least 32-bit hashes of the different content words, in order."""
-    return sorted({xxhash.xxh32_intdigest(w) - (1 << 31) for w in content.split()})[:SKETCH]
+def sketch(content: str) -> bytes:
+    """The signature: the SKETCH least 16-bit hashes of the different content words, two bytes each."""
+    return b"".join(h.to_bytes(2, "big") for h in sorted({xxhash.xxh32_intdigest(w) & 0xFFFF for w in content.split()})[:SKETCH])
+
+
+def sketched(signature: bytes) -> frozenset[int]:
+    return frozenset(int.from_bytes(signature[i : i + 2], "big") for i in range(0, len(signature), 2))
 
 
 def may_be_same(a: list[str], sketch_a: frozenset[int], b: list[str], sketch_b: frozenset[int]) -> bool:
@@ -262,11 +266,6 @@ def canonical_calls(calls: DataFrame, id_col: str, text_col: str, batch_col: str
     return picked.mapInArrow(run, "key string, call_id bigint, batch_no int")
 
 
-def different_texts(keyed: DataFrame) -> DataFrame:
-    """(key, first_call, first_batch, n): the first call of each different text."""
-    return keyed.groupBy("key").agg(F.min("call_id").alias("first_call"), F.min("batch_no").alias("first_batch"), F.count(F.lit(1)).alias("n"))
-
-
 def fit_speller(texts: DataFrame, total: int) -> Speller:
     """The frequent words of all different texts."""
 
@@ -301,30 +300,27 @@ def _own_speller(token: str, counts) -> Speller:
     return _spellers[token]
 
 
-def content_keys(texts: DataFrame, speller: Speller) -> DataFrame:
-    """The texts with (anchors, content); equal content keys are one class."""
-    shared, token = texts.sparkSession.sparkContext.broadcast(speller.counts), uuid.uuid4().hex
+def content_keys(keyed: DataFrame, speller: Speller) -> DataFrame:
+    """(call_id, batch_no, anchors, content) of canonical texts; equal content keys are one class."""
+    shared, token = keyed.sparkSession.sparkContext.broadcast(speller.counts), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _own_speller(token, shared)
+        read = lru_cache(50_000)(lambda key: content_key(key, own.fix))
         for batch in batches:
-            anchors, content = zip(*(content_key(k, own.fix) for k in batch.column(0).to_pylist())) if batch.num_rows else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(anchors, pa.string()), pa.array(content, pa.string())], names=[*batch.schema.names, "anchors", "content"]
-            )
+            anchors, content = zip(*map(read, batch.column(0).to_pylist())) if batch.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(anchors, pa.string()), pa.array(content, pa.string())], names=["call_id", "batch_no", "anchors", "content"])
 
-    return texts.select("key", "first_call", "first_batch", "n").mapInArrow(
-        run, "key string, first_call bigint, first_batch int, n bigint, anchors string, content string"
-    )
+    return keyed.select("key", "call_id", "batch_no").mapInArrow(run, "call_id bigint, batch_no int, anchors string, content string")
 
 
-_CLASS = "first_call bigint, anchors bigint, content string, signature array<int>"
-_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()))
+_CLASS = "first_call bigint, anchors bigint, content string, signature binary"
+_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
 _NAMES = ["band_key", "first_call", "anchors", "content", "signature"]
 
 
 def index_rows(classes: DataFrame, counts: dict[str, int] | None = None) -> DataFrame:
-    """The index: (bucket INT, band_key, first_call, anchors BIGINT, content STRING, signature ARRAY<INT>), a row for each band key of a class.
+    """The index: (bucket INT, band_key, first_call, anchors BIGINT, content STRING, signature BINARY), a row for each band key of a class.
 
     `counts` give the words' order, which must be the same for all rows of an index. Anchors are kept as a hash of their own,
     which with that in the band key makes 128 bits; the content stays, since verification needs the words in order.
@@ -366,7 +362,7 @@ def _compare(split: int | None):
                 else:
                     if key != at:
                         at, earlier = key, {}
-                    words, hashes = content.split(), frozenset(signature)
+                    words, hashes = content.split(), sketched(signature)
                     group = earlier.setdefault(anchors, [])
                     target, equal = None, any(others == words for _, others, _ in group)
                     if new:
@@ -442,7 +438,7 @@ def read_index(spark: SparkSession, path: str, new: DataFrame | None = None) ->
 
 def start_history(keyed: DataFrame, path: str) -> None:
     """A folder with an empty index and the speller, fitted on these calls; later batches are read with it as it is stored."""
-    texts = materialize(different_texts(keyed), "texts")
+    texts = materialize(keyed.select("key").distinct(), "texts")
     counts = fit_speller(texts, texts.count()).counts
     spark = keyed.sparkSession
     spark.createDataFrame([(w, n) for w, n in counts.items()], "word string, n bigint").coalesce(1).write.parquet(f"{path}/speller")
@@ -460,17 +456,17 @@ def add_batches(keyed: DataFrame, path: str) -> DataFrame:
     earlier batches are not read. A batch that comes again gives the same rows and adds nothing.
     """
     speller = stored_speller(keyed.sparkSession, path)
-    marked = materialize(content_keys(different_texts(keyed), speller), "content")
-    heads = materialize(marked.groupBy("anchors", "content").agg(F.min("first_call").alias("first_call")), "classes")
+    digest = F.unhex(F.md5(F.concat_ws("\x01", "anchors", "content"))).alias("digest")
+    rows = materialize(content_keys(keyed, speller).withColumn("digest", digest), "content")
+    heads = rows.groupBy("digest", "anchors", "content").agg(F.min("call_id").alias("first_call"), F.count(F.lit(1)).alias("n"))
+    heads = materialize(heads, "classes")
     fresh = materialize(index_rows(heads, speller.counts), "bands")
     links = materialize(linked(read_index(keyed.sparkSession, f"{path}/index", fresh), fresh), "links")
-    accepted = heads.join(links, "first_call", "left").select("anchors", "content", F.coalesce("target", "first_call").alias("accepted_id"))
-    digest = F.unhex(F.md5("key")).alias("digest")
-    found = materialize(marked.join(accepted, ["anchors", "content"]).select(digest, "n", "accepted_id"), "targets")
-    total = found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    found = heads.select("first_call", "digest", "n").join(links, "first_call", "left").select("digest", "n", F.coalesce("target", "first_call").alias("accepted_id"))
     # Ids rise with the batches, so what is smaller than the first id of a batch belongs to a smaller one.
-    starts = keyed.groupBy("batch_no").agg(F.min("call_id").alias("start"))
-    out = attach(keyed.select(digest, "call_id", "batch_no"), "digest", found, "n", total).join(starts, "batch_no").filter("accepted_id < start")
+    starts = rows.groupBy("batch_no").agg(F.min("call_id").alias("start"))
+    total = heads.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    out = attach(rows.select("digest", "call_id", "batch_no"), "digest", materialize(found, "targets"), "n", total).join(starts, "batch_no").filter("accepted_id < start")
     out = materialize(out.select("accepted_id", "call_id"), "repeats")
     append_index(fresh.join(links.filter("known"), "first_call", "left_anti").select(*fresh.columns), f"{path}/index")
     return out
