@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from granary.functions.text import clean_chapter
@@ -17,6 +18,10 @@ from granary.sources.paged import PageCheckpoint, PagedCsv, harvest, harvested
 from granary.streaming.dedup import clean_stream, number_batches, read_stream, run_available
 
 LIMIT = 1000
+#: Pages in a file of a book at most.
+PAGES = 1000
+#: Folders over those of the books: more than the 32 up to which Spark lists folders in the driver.
+SHELVES = 256
 PAGE = "call_id string, querytext string, crop string"
 _PAGED = "select cast(call_id as varchar) as call_id, coalesce(querytext, '') as querytext, coalesce(crop, '') as crop from kcc_calls"
 
@@ -91,17 +96,25 @@ def batch_files(spark, d):
 @query("""select book_key as book, cast(page_no as bigint) as page, text from page_blocks where text is not null and book_key is not null and not contains(text, chr(12))
 qualify row_number() over (partition by book_key, page_no order by block_id) = 1""")
 def page_loader(spark, d):
-    """Books written as one file each, form feeds between their pages, and loaded page by page; a page that lacks is an empty one."""
-    once = table(spark, d, "page_blocks").filter("text is not null and book_key is not null and not contains(text, '\f')")
-    once = once.groupBy("book_key", "page_no").agg(F.min(F.struct("block_id", "text")).alias("first")).select("book_key", "page_no", F.col("first.text").alias("text"))
-    by_page = once.groupBy("book_key").agg(F.map_from_entries(F.collect_list(F.struct("page_no", "text"))).alias("texts"), F.max("page_no").alias("last"))
-    in_order = F.transform(F.sequence(F.lit(1), F.col("last")), lambda i: F.coalesce(F.try_element_at("texts", i), F.lit("")))
-    books = by_page.select("book_key", F.array_join(in_order, "\f").alias("value"))
+    """Books written as files of PAGES pages at most, form feeds behind their pages, and loaded page by page; a page that lacks is an empty one.
+
+    The files are written row by row, so no book is held as a whole, and one with a tenth of all pages is many files. Folders have the
+    digest of a book's name, which may be any string; a page without a number is a file of its own. The folders stand on SHELVES folders,
+    each written by one task and listed by one task.
+    """
+    kept = table(spark, d, "page_blocks").filter("text is not null and book_key is not null and not contains(text, '\f')")
+    page = F.col("page_no").cast("bigint")
+    stretch = F.floor((page - 1) / PAGES)
+    part = F.concat_ws("-", F.md5("book_key"), F.coalesce(stretch.cast("string"), F.lit("none")))
+    rows = kept.select(F.col("book_key").alias("book"), page.alias("page"), part.alias("part"), F.coalesce(page - stretch * PAGES, F.lit(1)).cast("int").alias("at"), "block_id", "text")
+    placed = rows.withColumn("shelf", F.pmod(F.hash("part"), F.lit(SHELVES))).repartition("shelf").groupBy("shelf", "part", "at", "book", "page")
+    first = F.min(F.struct(F.col("block_id").isNull(), "block_id", "text"))["text"]
+    lacking = F.col("at") - F.lag("at", 1, 0).over(Window.partitionBy("shelf", "part").orderBy("at")) - 1
+    lines = placed.agg(first.alias("text")).withColumn("value", F.concat(F.repeat(F.lit("\f"), lacking), "text"))
     path = shared_path(spark, "books")
-    books.select("value", "book_key").write.partitionBy("book_key").option("lineSep", "\f\f").text(path)
-    loaded = files.load_pages(spark, path)
-    book = F.regexp_extract("path", "book_key=([^/]+)/", 1)
-    return loaded.select(book.alias("book"), F.col("page").cast("bigint"), "text").join(once.select(F.col("book_key").alias("book"), F.col("page_no").cast("bigint").alias("page")), ["book", "page"]).select("book", "page", "text")
+    lines.sortWithinPartitions("shelf", "part", "at").select("value", "shelf", "part").write.partitionBy("shelf", "part").option("lineSep", "\f").text(path)
+    loaded = files.load_pages(spark, path).select(F.regexp_extract("path", "part=([^/]+)/", 1).alias("part"), F.col("page").alias("at"), "text")
+    return loaded.join(placed.agg(F.lit(1)).select("part", "at", "book", "page"), ["part", "at"]).select("book", "page", "text")
 
 
 @query("""select cast(group_id as varchar) as key, 'old' as version, coalesce(exact_source_quote, '') || chr(10) || chr(10) || chr(10) || chr(10) || 'end' as text from qna_groups

@@ -13,6 +13,8 @@ from granary.operators.ids import with_row_ids
 
 ENCODINGS = ("utf-8", "utf-8-sig", "cp1252", "latin-1")
 SNIFF = 1 << 16
+#: Bytes of page files that a task reads, if the files are smaller.
+TASK_BYTES = 16 << 20
 _HELD = [i for i in range(0x80, 0xA0) if bytes([i]).decode("cp1252", "ignore")]
 #: The characters of Latin-1 that stand for others in cp1252, and those.
 WESTERN = (bytes(_HELD).decode("latin-1"), bytes(_HELD).decode("cp1252"))
@@ -158,8 +160,11 @@ def load_pages(spark: SparkSession, path: str, extract: Callable[[bytes], list[s
                 texts = extract(data)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(texts), pa.string()), pa.array(range(1, len(texts) + 1), pa.int32()), pa.array(texts, pa.string())], names=["path", "page", "text"])
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(run, "path string, page int, text string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    # Spark takes a small file for one of 4 MB, so thousands would be as many short tasks.
+    size = int(str(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    files = files.coalesce(max(4 * spark.sparkContext.defaultParallelism, size // TASK_BYTES))
+    return files.mapInArrow(run, "path string, page int, text string")
 
 
 def first_pages(pages: DataFrame, page: str, most: int = 15) -> DataFrame:

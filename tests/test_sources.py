@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.functions import html
+from granary.plans.sources import page_loader
 from granary.sources import files
 from granary.sources.files import combine, detect_encoding, read_csv, report
 from granary.sources.paged import PageCheckpoint, PagedCsv, fetch, harvest, harvested, records_of
@@ -156,3 +157,25 @@ def test_forms(spark):
     got = df.select("f.fields", html.select_named(F.col("f.options"), "MONTH").alias("o"), html.form_post(F.col("f.fields"), F.lit("t"), F.create_map(F.lit("a"), F.lit("9"))).alias("p")).collect()
     assert got[0]["fields"] == {"a": "1"} and [(o["value"], o["text"]) for o in got[0]["o"]] == [("01", "January"), ("2", "Feb & on")]
     assert got[0]["p"] == {"__EVENTTARGET": "t", "__EVENTARGUMENT": "", "a": "9"} and got[1]["fields"] is None and got[2]["fields"] == {}
+
+
+def test_books_of_any_name_and_length(spark, tmp_path):
+    last = 2**31 - 1
+    rows = [(1, "a", 1, "one"), (2, "a", 3, ""), (3, "a", 3, "again"), (4, "a", 1001, "next file"), (5, "a", last, "far"), (6, "a", 0, "nought"), (7, "a", -1, "before"), (8, "a", None, "no number")]
+    rows += [(9, "b/c=ü %2F", 2, "line\nline"), (10, "", 1, "no name"), (None, "d", 1, "later"), (11, "d", 1, "first"), (12, "d", 2, None), (13, "d", 3, "two\fpages"), (14, None, 1, "x")]
+    spark.createDataFrame(rows, "block_id long, book_key string, page_no int, text string").write.parquet(str(tmp_path / "page_blocks.parquet"))
+    got = {tuple(r) for r in page_loader(spark, str(tmp_path)).collect()}
+    assert got == {(b, p, t) for i, b, p, t in rows if i not in (3, 12, 13, 14, None)}
+    spark.createDataFrame([], "block_id long, book_key string, page_no int, text string").write.parquet(str(tmp_path / "none" / "page_blocks.parquet"))
+    assert page_loader(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_small_files_are_read_together(spark, tmp_path):
+    for i in range(100):
+        (tmp_path / f"{i}.txt").write_bytes(b"one\ftwo")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1 << 22)
+    try:
+        pages = files.load_pages(spark, str(tmp_path))
+        assert pages.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism and pages.count() == 200
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
