@@ -32,8 +32,12 @@ COMMONEST, BARE_RARE = 30, 0.7
 #: Rows of figures are no keywords, from this share of numbers on.
 FIGURES = 0.35
 SHARE = 0.55
-#: What is usual is learnt from each different text once, and from a site up to this share of the different texts.
+#: What is usual is learnt from each different text once; all those of a site together weigh up to this share of the different texts.
 SITE_SHARE = 0.02
+#: The weight of a page; whole numbers, so that sums don't depend on their order.
+ONE = 1_000_000
+#: Quartiles are taken of values rounded to this, far less than the least spread.
+GRID = 1e-4
 BROADCAST_IDS = 500_000
 
 UNIT = regex.compile(r"\n+|(?<=[.!?।॥])\s+")
@@ -60,7 +64,7 @@ def plain_pages(documents: DataFrame) -> DataFrame:
 
 
 def usual_pages(pages: DataFrame) -> DataFrame:
-    """(doc_id, base): pages that tell what is usual, with base true: one of each different text, and of sites with more than SITE_SHARE of these as many by hash.
+    """(doc_id, weight): one page of each different text, which tell what is usual; the weight is ONE, on a site with more than SITE_SHARE of these pages less, so that they have as much together.
 
     So neither copies of a page nor one site can make themselves the rule. Texts that differ in case, marks or numbers only count as one.
     """
@@ -69,14 +73,13 @@ def usual_pages(pages: DataFrame) -> DataFrame:
     most = max(1.0, SITE_SHARE * firsts.count())
     # Fewer than 1 / SITE_SHARE sites by definition.
     large = firsts.filter("site is not null").groupBy("site").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > most)
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
-    kept = firsts.join(F.broadcast(large), "site", "left").filter(F.col("m").isNull() | (chance < most / F.col("m")))
-    return kept.select("doc_id").distinct().withColumn("base", F.lit(True))
+    weight = F.coalesce(F.round(F.lit(ONE * most) / F.col("m")).cast("bigint"), F.lit(ONE))
+    return firsts.join(F.broadcast(large), "site", "left").groupBy("doc_id").agg(F.max(weight).alias("weight"))
 
 
 def common_words(pages: DataFrame) -> DataFrame:
-    """(lang, word, share) of the words with at least WORD_SHARE of their language on usual pages: at most 1 / WORD_SHARE a language."""
-    counts = pages.filter("base").select("lang", F.explode(F.split("plain", " ")).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    """(lang, word, share) of the words with at least WORD_SHARE of their language on usual pages by weight: at most 1 / WORD_SHARE a language."""
+    counts = pages.filter("weight > 0").select("lang", "weight", F.explode(F.split("plain", " ")).alias("word")).groupBy("lang", "word").agg(F.sum("weight").alias("n"))
     counts = materialize(counts, "counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("all"))
     return counts.join(F.broadcast(totals), "lang").select("lang", "word", (F.col("n") / F.col("all")).alias("share")).filter(F.col("share") >= WORD_SHARE)
@@ -101,7 +104,7 @@ def log_square_sum(n: Column) -> Column:
 
 
 def page_curves(pages: DataFrame, common: DataFrame) -> DataFrame:
-    """(doc_id, lang, base, total, slope, residual, divergence) of each page.
+    """(doc_id, lang, weight, total, slope, residual, divergence) of each page.
 
     Slope and root mean square residual of log frequency on log rank over all its words; divergence is the page's
     Kullback-Leibler divergence from its language. Words of one frequency have neighbouring ranks, whichever comes first,
@@ -109,25 +112,39 @@ def page_curves(pages: DataFrame, common: DataFrame) -> DataFrame:
     brought together by page once; counting and ranking need no further shuffle.
     """
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = pages.repartition(parts, "doc_id").select("doc_id", "lang", "base", F.explode(F.split("plain", " ")).alias("word"))
-    counted = words.groupBy("doc_id", "word").agg(F.min("lang").alias("lang"), F.max("base").alias("base"), F.count(F.lit(1)).alias("n"))
+    words = pages.repartition(parts, "doc_id").select("doc_id", "lang", "weight", F.explode(F.split("plain", " ")).alias("word"))
+    counted = words.groupBy("doc_id", "word").agg(F.min("lang").alias("lang"), F.max("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
     rarity = -F.ln(F.coalesce("share", F.lit(WORD_SHARE)))
     held = counted.join(F.broadcast(common), ["lang", "word"], "left")
-    steps = held.groupBy("doc_id", "n").agg(F.min("lang").alias("lang"), F.max("base").alias("base"), F.count(F.lit(1)).alias("m"), F.sum(rarity).alias("rarity"))
+    steps = held.groupBy("doc_id", "n").agg(F.min("lang").alias("lang"), F.max("weight").alias("weight"), F.count(F.lit(1)).alias("m"), F.sum(rarity).alias("rarity"))
     page = Window.partitionBy("doc_id")
     last = F.sum("m").over(page.orderBy(F.desc("n")))
     ranked = steps.select("*", last.alias("last"), (last - F.col("m")).alias("before"), F.sum(F.col("m") * F.col("n")).over(page).alias("total"))
     y = F.ln(F.col("n") / F.col("total"))
     ranked = ranked.select("*", y.alias("y"), (log_sum(F.col("last")) - log_sum(F.col("before"))).alias("x"), (log_square_sum(F.col("last")) - log_square_sum(F.col("before"))).alias("xx"))
     fit = ranked.groupBy("doc_id").agg(
-        F.min("lang").alias("lang"), F.max("base").alias("base"), F.max("total").alias("total"), F.sum("m").cast("double").alias("k"), F.sum(F.col("m") * F.col("y")).alias("sy"),
+        F.min("lang").alias("lang"), F.max("weight").alias("weight"), F.max("total").alias("total"), F.sum("m").cast("double").alias("k"), F.sum(F.col("m") * F.col("y")).alias("sy"),
         F.sum(F.col("m") * F.col("y") * F.col("y")).alias("qy"), F.sum("x").alias("sx"), F.sum("xx").alias("qx"), F.sum(F.col("x") * F.col("y")).alias("xy"),
         F.sum(F.col("n") / F.col("total") * (F.col("m") * F.col("y") + F.col("rarity"))).alias("divergence"),
     )
     sxx, syy, sxy = (F.col("qx") - F.col("sx") * F.col("sx") / F.col("k"), F.col("qy") - F.col("sy") * F.col("sy") / F.col("k"), F.col("xy") - F.col("sx") * F.col("sy") / F.col("k"))
     slope = F.when(F.col("k") > 1, sxy / F.greatest(sxx, F.lit(1e-9))).otherwise(F.lit(0.0))
     residual = F.sqrt(F.greatest(F.lit(0.0), syy - slope * sxy) / F.col("k"))
-    return fit.select("doc_id", "lang", "base", "total", slope.alias("slope"), residual.alias("residual"), "divergence")
+    return fit.select("doc_id", "lang", "weight", "total", slope.alias("slope"), residual.alias("residual"), "divergence")
+
+
+def weighted_quartiles(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, pages, slope, residual, divergence): the pages by weight of each group, and the quartiles of the three, an array each, from (lang, size, name, value, weight)."""
+    by = [*keys, "name"]
+    merged = cells.groupBy(*by, "value").agg(F.sum("weight").alias("weight"))
+    group = Window.partitionBy(*by)
+    upto, whole = F.sum("weight").over(group.orderBy("value")), F.sum("weight").over(group)
+    placed = merged.select(*by, (F.col("value") * GRID).alias("value"), upto.alias("upto"), whole.alias("whole"))
+    # A quartile is the least value up to which its share of the weight lies.
+    quartiles = F.array(*[F.min(F.when(F.col("upto") * 4 >= F.col("whole") * k, F.col("value"))) for k in (1, 2, 3)])
+    found = placed.groupBy(*by).agg(quartiles.alias("quartiles"), F.max("whole").alias("whole"))
+    held = [F.max(F.when(F.col("name") == c, F.col("quartiles"))).alias(c) for c in ("slope", "residual", "divergence")]
+    return found.groupBy(*keys).agg((F.max("whole") / ONE).alias("pages"), *held)
 
 
 def suspects(curves: DataFrame) -> DataFrame:
@@ -137,11 +154,12 @@ def suspects(curves: DataFrame) -> DataFrame:
     """
     sized = curves.withColumn("size", F.floor(2 * F.log2("total")).cast("int"))
     names = ("slope", "residual", "divergence")
-    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias(c) for c in names]
-    usual = sized.filter("base")
-    groups = usual.groupBy("lang", "size").agg(F.count(F.lit(1)).alias("pages"), *quartiles).filter(F.col("pages") >= GROUP_LEAST)
-    sizes = usual.groupBy("size").agg(F.count(F.lit(1)).alias("pages"), *quartiles).filter(F.col("pages") >= GROUP_LEAST)
-    overall = usual.agg(*quartiles)
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.round(F.col(c) / GRID).cast("bigint").alias("value")) for c in names]))
+    # Bounded by the grid, however many pages there are.
+    cells = sized.filter("weight > 0").select("lang", "size", "weight", values.alias("v")).groupBy("lang", "size", "v.name", "v.value").agg(F.sum("weight").alias("weight"))
+    cells = materialize(cells, "cells")
+    groups, sizes, overall = (weighted_quartiles(cells, keys) for keys in (["lang", "size"], ["size"], []))
+    groups, sizes = groups.filter(F.col("pages") >= GROUP_LEAST), sizes.filter(F.col("pages") >= GROUP_LEAST)
     held = lambda df, name, *keys: df.select(*keys, F.struct(*names).alias(name))
     # Languages and lengths are few: nine by twice the binary logarithm of the longest page.
     joined = (
@@ -183,7 +201,7 @@ def spam_share(text: str, usual: float, shares: dict[str, float], entropy: float
 def judge_pages(documents: DataFrame) -> DataFrame:
     """(doc_id BIGINT, spam_share DOUBLE) of the suspects."""
     plain = materialize(plain_pages(documents), "plain")
-    pages = plain.drop("site").join(usual_pages(plain), "doc_id", "left").withColumn("base", F.coalesce("base", F.lit(False)))
+    pages = plain.drop("site").join(usual_pages(plain), "doc_id", "left").withColumn("weight", F.coalesce("weight", F.lit(0).cast("bigint")))
     common = materialize(common_words(pages), "common")
     found = materialize(suspects(materialize(page_curves(pages, common), "curves")), "suspects")
     shares: dict[int, dict[str, float]] = {}

@@ -282,3 +282,18 @@ def test_stuffed_pages_are_not_the_rule(spark):
     for stuffed in (copies, site):
         df = spark.createDataFrame([(*r, "en") for r in rows + stuffed], "doc_id long, text string, site_id string, lang string")
         assert sorted(r["doc_id"] for r in stuffing.find_stuffed(df).collect()) == [r[0] for r in stuffed]
+
+
+def test_all_pages_of_a_large_site_tell_what_is_usual(spark):
+    word = lambda i: "".join(chr(97 + int(c)) for c in str(1000 + i))
+    rows = [(i, f"the rain {word(i)}", "large" if i < 200 else f"s{i}", "en") for i in range(300)]
+    plain = stuffing.plain_pages(spark.createDataFrame(rows, "doc_id long, text string, site_id string, lang string"))
+    usual = stuffing.usual_pages(plain)
+    assert {r["doc_id"] for r in usual.collect()} == set(range(300))
+    pages = plain.join(usual, "doc_id")
+    shares = {r["word"]: r["share"] for r in stuffing.common_words(pages).collect()}
+    # The site's 200 texts weigh as much as 2 % of the 300, the others 1 each.
+    assert shares[word(0)] == shares[word(199)] == pytest.approx(0.03 / 318) and shares[word(200)] == pytest.approx(1 / 318)
+    cells = spark.createDataFrame([("slope", v, w * stuffing.ONE) for v, w in ((10, 1), (20, 1), (30, 6))], "name string, value long, weight long")
+    found = stuffing.weighted_quartiles(cells, []).first()
+    assert found["pages"] == 8 and found["slope"] == pytest.approx([0.002, 0.003, 0.003])
